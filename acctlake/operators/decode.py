@@ -132,14 +132,15 @@ def explode_entries(records: DataFrame) -> DataFrame:
 
 
 def decode_table(records: DataFrame, table: str, ingest_ts: Column | None = None,
-                 run_id: str | None = None) -> DataFrame:
+                 run_id: str | None = None, keep: tuple[str, ...] = ()) -> DataFrame:
     """Rows of one table from records that were routed to it.
 
-    ``records`` carries the header columns, ``record_seq``, ``file_hash`` and ``body``.
+    ``records`` carries the header columns, ``record_seq``, ``file_hash`` and ``body``. A table
+    without a layout gets the header columns only. ``keep`` names further columns to pass on.
     """
     ingest = (F.lit(None) if ingest_ts is None else ingest_ts).cast("timestamp")
     body = F.col("body")
-    kept = records.select(*_HEADER, "record_seq", "file_hash", "body")
+    kept = records.select(*_HEADER, "record_seq", "file_hash", "body", *keep)
     entry_seq = F.lit(0)
     values: dict[str, Column] = {}
 
@@ -187,4 +188,5 @@ def decode_table(records: DataFrame, table: str, ingest_ts: Column | None = None
         entry_seq.alias("entry_seq"),
         "file_hash",
         F.lit(run_id).cast("string").alias("run_id"),
+        *keep,
     )

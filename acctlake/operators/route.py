@@ -64,8 +64,3 @@ def type_counts(routed: DataFrame) -> DataFrame:
     return routed.groupBy("record_type", "subtype", "table_name").agg(
         F.count(F.lit(1)).alias("records")
     )
-
-
-def unaccounted(total: int, audit_rows: list[dict]) -> int:
-    """Records read minus records that have a disposition; 0 when nothing was lost."""
-    return total - sum(row["records"] for row in audit_rows)

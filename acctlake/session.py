@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
+import pyarrow.fs as pafs
 from pyspark.sql import SparkSession
 
 #: Settings every job of this package assumes; pass them to ``spark-submit`` or the builder.
@@ -43,3 +44,14 @@ def scratch_root(spark: SparkSession) -> str:
 def scratch_dir(spark: SparkSession, label: str) -> str:
     """A fresh folder name under the scratch root."""
     return f"{scratch_root(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def drop_scratch(spark: SparkSession, path: str) -> None:
+    """Remove a folder made by :func:`scratch_dir`; anything else is refused."""
+    if not path.startswith(scratch_root(spark) + "/"):
+        raise ValueError(f"{path} is not a scratch folder")
+    if "://" in path:
+        filesystem, inner = pafs.FileSystem.from_uri(path)
+    else:
+        filesystem, inner = pafs.LocalFileSystem(), path.removeprefix("file:")
+    filesystem.delete_dir(inner)
