@@ -146,7 +146,7 @@ RECORD_VALUES = {
     "part": {
         "rec_date": "make_date(2000 + p_size % 30, 1 + p_size % 12, 1 + p_size % 28)",
         "rec_time": "p_partkey % 8640000",
-        "rec_system": "concat('SYS', p_partkey % 4)",
+        "rec_system": "concat('SYS', p_partkey % 2)",
         "rec_interval": "p_size * 6000",
         "rec_samples": "p_size * 1000",
         "rec_plex": "concat('PLEX', p_size % 3)",

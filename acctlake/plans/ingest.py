@@ -25,11 +25,6 @@ DEFAULT_CUSTOMER = "INTERNAL"
 #: Tables written at the same time; each is its own Spark job and small ones would idle the rest.
 WRITERS = 6
 
-AUDIT_SCHEMA = (
-    "run_id string, ingest_ts timestamp, table_name string, disposition string, records bigint, "
-    "rows bigint"
-)
-
 
 def new_run_id(now: dt.datetime) -> str:
     return f"{now:%Y%m%dT%H%M%SZ}-{uuid.uuid4().hex[:8]}"
@@ -157,7 +152,7 @@ def ingest_files(files: DataFrame, root: str, customer: str = DEFAULT_CUSTOMER,
                     "rows": rows.get(table, 0),
                 }
             )
-    result = spark.createDataFrame(audit, AUDIT_SCHEMA)
+    result = spark.createDataFrame(audit, D.AUDIT_SCHEMA)
     _replace_run(result.coalesce(1), f"{root}/{D.AUDIT}")
     drop_scratch(spark, scratch)
     return result

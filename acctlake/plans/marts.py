@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from acctlake.functions.numbers import rounded_sum
 from acctlake.functions.text import job_label, program_label
 from acctlake.operators.checks import assert_checks
 from acctlake.operators.mapping import dim_application
@@ -51,10 +52,6 @@ def fct_job_consumption(staged: DataFrame, dim: DataFrame) -> DataFrame:
     return joined.select(*[c for c in order if c in joined.columns])
 
 
-def rounded_sum(column: str, places: int) -> Column:
-    return F.round(F.sum(column), places)
-
-
 def _measures(places: int = 3) -> list[Column]:
     return [
         F.count(F.lit(1)).alias("step_runs"),

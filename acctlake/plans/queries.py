@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from acctlake.functions.numbers import round_to, rounded_sum
 from acctlake.functions.text import job_label, program_label
-from acctlake.plans.marts import rounded_sum
 
 
 def jobs_per_date(smf30: DataFrame) -> DataFrame:
@@ -42,8 +42,8 @@ def top_cpu_consumers(smf30: DataFrame, k: int = 20) -> DataFrame:
         .agg(
             F.count(F.lit(1)).alias("runs"),
             rounded_sum("cpu_sec", 2).alias("total_cpu_sec"),
-            F.round(F.avg("cpu_sec"), 3).alias("avg_cpu_sec"),
-            F.round(F.max("cpu_sec"), 2).alias("max_cpu_sec"),
+            round_to(F.avg("cpu_sec"), 3).alias("avg_cpu_sec"),
+            round_to(F.max("cpu_sec"), 2).alias("max_cpu_sec"),
             F.sum("excp_count").alias("total_excp"),
         )
         .orderBy(
@@ -66,14 +66,14 @@ def with_previous_day(smf30: DataFrame) -> DataFrame:
 
 def day_over_day_movers(smf30: DataFrame, k: int = 20) -> DataFrame:
     """The k largest rises of a job's daily CPU; differences are taken before rounding."""
-    delta = F.round(F.col("cpu_sec") - F.col("prev_cpu_sec"), 2)
+    delta = round_to(F.col("cpu_sec") - F.col("prev_cpu_sec"), 2)
     return (
         with_previous_day(smf30)
         .select(
             "smf_date",
             "job_name",
-            F.round("cpu_sec", 2).alias("cpu_sec"),
-            F.round("prev_cpu_sec", 2).alias("prev_cpu_sec"),
+            round_to(F.col("cpu_sec"), 2).alias("cpu_sec"),
+            round_to(F.col("prev_cpu_sec"), 2).alias("prev_cpu_sec"),
             delta.alias("delta_sec"),
         )
         .where("delta_sec is not null")

@@ -8,7 +8,8 @@ from collections.abc import Iterable
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
-from acctlake.plans.marts import jobs_by_date_order, rounded_sum
+from acctlake.functions.numbers import rounded_sum
+from acctlake.plans.marts import jobs_by_date_order
 
 
 def jobs_by_date(marts: dict[str, DataFrame]) -> DataFrame:

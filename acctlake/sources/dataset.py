@@ -19,6 +19,14 @@ PARTITIONS = ("customer", "path_system_id", "year", "month", "run_id")
 HEADER_ONLY = "header_only"
 #: Beside the tables: damaged frames, and the account of every run.
 MALFORMED, AUDIT = "malformed", "audit"
+AUDIT_SCHEMA = (
+    "ingest_ts timestamp, table_name string, disposition string, records bigint, rows bigint, "
+    "run_id string"
+)
+MALFORMED_SCHEMA = (
+    "source_file string, record_seq bigint, byte_offset bigint, error string, body binary, "
+    "file_hash string, ingest_ts timestamp, run_id string"
+)
 ROOT_SETTING = "spark.acctlake.root"
 
 #: One view per record type; a view covers the tables of all its subtypes.
@@ -138,6 +146,16 @@ def read_table(spark: SparkSession, root: str, table: str, merge_schema: bool =
     return rows
 
 
+def read_audit(spark: SparkSession, root: str) -> DataFrame:
+    """Per run and table: what became of the records, how many there were, how many rows they gave."""
+    return spark.read.schema(AUDIT_SCHEMA).parquet(f"{root}/{AUDIT}")
+
+
+def read_malformed(spark: SparkSession, root: str) -> DataFrame:
+    """Frames that could not be used: where they are, what was wrong, and their bytes if any."""
+    return spark.read.schema(MALFORMED_SCHEMA).parquet(f"{root}/{MALFORMED}")
+
+
 def read_type(spark: SparkSession, root: str | None, record_type: str,
               merge_schema: bool = False) -> DataFrame:
     """All rows of a record type (``smf30``, ``smf74``, ``raw``): its subtype tables united by name.
