@@ -74,15 +74,18 @@ def text(data: Column, pos, width: int, end=None) -> Column:
 
 def packed_date(data: Column, pos, end=None) -> Column:
     """Packed ``YYYYDDD`` plus sign nibble; NULL unless it is a real day in the believed years."""
-    digits = F.hex(_slice(data, pos, 4))
-    year = F.substring(digits, 1, 4).try_cast("int")
-    day = F.substring(digits, 5, 3).try_cast("int")
-    first = F.make_date(year, F.lit(1), F.lit(1))
-    believable = (
-        _fits(data, pos, 4, end) & year.between(FIRST_YEAR, LAST_YEAR) & day.between(1, 366)
+    # Hexadecimal letters make the cast NULL, and a NULL stays one all the way.
+    number = F.substring(F.hex(_slice(data, pos, 4)), 1, 7).try_cast("int")
+    first_of_year = F.make_date(
+        F.when(number.between(FIRST_YEAR * 1000, LAST_YEAR * 1000 + 999), F.floor(number / 1000)).cast("int"),
+        F.lit(1),
+        F.lit(1),
+    )
+    day = F.pmod(number, F.lit(1000))
+    last = F.dayofyear(F.last_day(F.add_months(first_of_year, 11)))
+    return F.when(
+        _fits(data, pos, 4, end) & day.between(1, last), F.date_add(first_of_year, day - F.lit(1))
     )
-    date = F.when(believable, F.date_add(first, day - F.lit(1)))
-    return F.when(F.year(date) == year, date)
 
 
 def day_time(date: Column, hundredths: Column) -> Column:

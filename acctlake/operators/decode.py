@@ -131,6 +131,26 @@ def explode_entries(records: DataFrame) -> DataFrame:
     return records.withColumn("_entry", F.explode(_entry_numbers(F.col("_row.count"))))
 
 
+def _record_values(layout: L.Layout, body: Column) -> list[Column]:
+    """Interval columns and the fields of sections that have one entry per record."""
+    values: dict[str, Column] = {}
+    if layout.interval:
+        interval = _interval(body, section_column("_s0"))
+        values |= {name: interval[name] for name in layout.interval}
+    for f in layout.fields:
+        if f.section == "row":
+            continue
+        section = section_column(f"_s{f.section}")
+        if f.kind.startswith("cpu_"):
+            values[f.name] = _roll_up(f, _processors(body, section))
+        elif f.kind == "u64_list":
+            values[f.name] = counter_list(body, section)
+        else:
+            end = section.entry_end(body, F.lit(0))
+            values[f.name] = _read(f.kind, body, section.offset, f, end)
+    return [value.alias(name) for name, value in values.items()]
+
+
 def decode_table(records: DataFrame, table: str, ingest_ts: Column | None = None,
                  run_id: str | None = None, keep: tuple[str, ...] = ()) -> DataFrame:
     """Rows of one table from records that were routed to it.
@@ -149,6 +169,8 @@ def decode_table(records: DataFrame, table: str, ingest_ts: Column | None = None
     elif table in L.BY_TABLE:
         layout = L.BY_TABLE[table]
         kept = sections_of(kept, layout)
+        # Values of the whole record first: once per record, however many entries follow.
+        kept = kept.select("*", *_record_values(layout, body))
         if layout.rows is not None:
             kept = explode_entries(kept)
             entry_seq = F.col("_entry").cast("int")
@@ -163,22 +185,13 @@ def decode_table(records: DataFrame, table: str, ingest_ts: Column | None = None
                 position, mask = layout.valid_bit
                 flags = B.uint(body, F.col("_start") + F.lit(position), 1, F.col("_end"))
                 kept = kept.where(B.bit_set(flags, mask))
-        if any(f.kind.startswith("cpu_") for f in layout.fields):
-            kept = kept.withColumn("_cpus", _processors(body, section_column("_s2")))
-        if layout.interval:
-            interval = _interval(body, section_column("_s0"))
-            values |= {name: interval[name] for name in layout.interval}
+        values |= {name: F.col(name) for name in layout.interval}
         for f in layout.fields:
-            if f.kind.startswith("cpu_"):
-                values[f.name] = _roll_up(f, F.col("_cpus"))
-            elif f.kind == "u64_list":
-                values[f.name] = counter_list(body, section_column(f"_s{f.section}"))
-            elif f.section == "row":
-                values[f.name] = _read(f.kind, body, F.col("_start"), f, F.col("_end"))
-            else:
-                section = section_column(f"_s{f.section}")
-                end = section.entry_end(body, F.lit(0))
-                values[f.name] = _read(f.kind, body, section.offset, f, end)
+            values[f.name] = (
+                _read(f.kind, body, F.col("_start"), f, F.col("_end"))
+                if f.section == "row"
+                else F.col(f.name)
+            )
 
     return kept.select(
         *_HEADER,

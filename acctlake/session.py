@@ -16,8 +16,9 @@ SETTINGS = {
     "spark.sql.parquet.compression.codec": "zstd",
     # system "0001" and customer "2024" must stay text when read back from directory names
     "spark.sql.sources.partitionColumnTypeInference.enabled": "false",
-    # one batch of the record splitter carries whole records, so bound it by rows and bytes
-    "spark.sql.execution.arrow.maxRecordsPerBatch": "65536",
+    # Decoding a table is one wide projection. Java only compiles methods up to this size; beyond it
+    # Spark then generates many small ones instead of one that stays interpreted (3 times slower).
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 

@@ -243,9 +243,9 @@ def list_logs(spark: SparkSession, paths: str | list[str], glob: str | None = No
 
 
 def _spread(ranges: DataFrame, tasks: int) -> DataFrame:
-    # An explicit number: range rows are tiny, so size-based coalescing would put all of them
-    # into one task.
-    return ranges.repartition(max(1, tasks), "source_file", "range_no")
+    # Dealt out evenly, to an explicit number: range rows are tiny, so size-based coalescing would
+    # put all of them into one task.
+    return ranges.repartition(max(1, tasks))
 
 
 def _range_index(spark: SparkSession, large: DataFrame, range_bytes: int, tasks: int) -> DataFrame:
