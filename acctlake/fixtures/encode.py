@@ -12,11 +12,12 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import pyarrow as pa
-import pyarrow.fs as pafs
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from acctlake.sources.files import locate
+
 # The file writer travels with the plan, so executors need not have this package installed.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -290,12 +291,6 @@ def encode_nested(rows: DataFrame, spec: Spec) -> DataFrame:
 # -- binary files --------------------------------------------------------------------------------
 
 
-def _target(folder: str):
-    if "://" not in folder:
-        return pafs.LocalFileSystem(), folder[len("file:"):] if folder.startswith("file:") else folder
-    return pafs.FileSystem.from_uri(folder)
-
-
 def write_logs(records: DataFrame, folder: str) -> DataFrame:
     """Write ``body`` rows as length-prefixed files, one per task; returns the file names.
 
@@ -311,7 +306,7 @@ def write_logs(records: DataFrame, folder: str) -> DataFrame:
     )
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        filesystem, inner = _target(folder)
+        filesystem, inner = locate(folder)
         filesystem.create_dir(inner, recursive=True)
         stream, name = None, None
         for batch in batches:

@@ -33,17 +33,17 @@ def stg_smf30(smf30: DataFrame) -> DataFrame:
     )
 
 
-def fct_job_consumption(staged: DataFrame, dim: DataFrame) -> DataFrame:
-    """One row per job or step run with its application.
+def with_application(rows: DataFrame, dim: DataFrame) -> DataFrame:
+    """Add application and group. The dimension has one row per (customer, job_name), so a hot job
+    only makes its own side large, which Spark splits at run time; a dimension that is small by its
+    measured size is broadcast and the rows stay where they are."""
+    wanted = dim.select("customer", "job_name", "application", "app_group")
+    return rows.join(wanted, ["customer", "job_name"], "left")
 
-    The dimension has one row per key, so a hot job only makes its own side of the join large,
-    which Spark splits at run time; a small dimension is broadcast by its measured size.
-    """
-    joined = staged.join(
-        dim.select("customer", "job_name", "application", "app_group"),
-        ["customer", "job_name"],
-        "left",
-    )
+
+def fct_job_consumption(staged: DataFrame, dim: DataFrame) -> DataFrame:
+    """One row per job or step run with its application."""
+    joined = with_application(staged, dim)
     order = (
         "customer", "application", "app_group", "system_id", "smf_date", "smf_timestamp",
         "job_name", "step_name", "job_id", "program_name", "cpu_sec", "tcb_sec", "srb_sec",
@@ -52,28 +52,46 @@ def fct_job_consumption(staged: DataFrame, dim: DataFrame) -> DataFrame:
     return joined.select(*[c for c in order if c in joined.columns])
 
 
-def _measures(places: int = 3) -> list[Column]:
-    return [
+def _totals(rows: DataFrame, keys: tuple[str, ...], dim: DataFrame | None) -> DataFrame:
+    """Sums per key and application.
+
+    Rows of the fact carry their application. Given the dimension instead, the rows are added up
+    per job first and only the totals are joined: a job has one application per customer, so the
+    result is the same, and the rows themselves are never shuffled for the join.
+    """
+    measures = [
         F.count(F.lit(1)).alias("step_runs"),
-        *[rounded_sum(c, places).alias(c) for c in SECONDS],
+        *[rounded_sum(c, 3).alias(c) for c in SECONDS],
         F.sum("excp_count").alias("excp"),
     ]
+    if dim is None:
+        return rows.groupBy(*keys, "application", "app_group").agg(*measures)
+    return with_application(rows.groupBy(*keys).agg(*measures), dim)
+
+
+_MEASURED = ("step_runs", *SECONDS, "excp")
 
 
-def agg_consumption_daily(fct: DataFrame) -> DataFrame:
-    keys = ("smf_date", "customer", "application", "app_group", "system_id", "job_name")
-    return fct.groupBy(*keys).agg(*_measures())
+def agg_consumption_daily(rows: DataFrame, dim: DataFrame | None = None) -> DataFrame:
+    """Consumption per day, customer, application, system and job, from the fact, or from staged
+    rows and the dimension."""
+    totals = _totals(rows, ("smf_date", "customer", "system_id", "job_name"), dim)
+    return totals.select(
+        "smf_date", "customer", "application", "app_group", "system_id", "job_name", *_MEASURED
+    )
+
 
+def rpt_jobs_by_date(rows: DataFrame, dim: DataFrame | None = None) -> DataFrame:
+    """Every job of every date, zero consumption included; input as for the daily aggregate.
 
-def rpt_jobs_by_date(fct: DataFrame) -> DataFrame:
-    """Every job of every date, zero consumption included. Unsorted: see :func:`jobs_by_date_order`."""
-    keys = ("smf_date", "customer", "system_id", "application", "app_group", "job_name")
-    shown = fct.select(
-        *keys, job_label().alias("job_label"), program_label().alias("program_label"),
-        *SECONDS, "excp_count",
+    Unsorted: the order of the report is :func:`jobs_by_date_order`.
+    """
+    shown = rows.withColumns({"job_label": job_label(), "program_name": program_label()})
+    keys = ("smf_date", "customer", "system_id", "job_name", "job_label", "program_name")
+    return _totals(shown, keys, dim).select(
+        "smf_date", "customer", "system_id", "application", "app_group", "job_name", "job_label",
+        "program_name", *_MEASURED,
     )
-    grouped = shown.groupBy(*keys, "job_label", "program_label").agg(*_measures())
-    return grouped.withColumnRenamed("program_label", "program_name")
 
 
 def jobs_by_date_order() -> list[Column]:
@@ -96,8 +114,8 @@ def define_marts(smf30: DataFrame, patterns: DataFrame) -> dict[str, DataFrame]:
         "map_job_application": patterns,
         "dim_application": dim,
         "fct_job_consumption": fct,
-        "agg_consumption_daily": agg_consumption_daily(fct),
-        "rpt_jobs_by_date": rpt_jobs_by_date(fct),
+        "agg_consumption_daily": agg_consumption_daily(staged, dim),
+        "rpt_jobs_by_date": rpt_jobs_by_date(staged, dim),
     }
 
 

@@ -5,9 +5,10 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-import pyarrow.fs as pafs
 from pyspark.sql import SparkSession
 
+from acctlake.sources.files import locate
+
 #: Settings every job of this package assumes; pass them to ``spark-submit`` or the builder.
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
@@ -51,8 +52,5 @@ def drop_scratch(spark: SparkSession, path: str) -> None:
     """Remove a folder made by :func:`scratch_dir`; anything else is refused."""
     if not path.startswith(scratch_root(spark) + "/"):
         raise ValueError(f"{path} is not a scratch folder")
-    if "://" in path:
-        filesystem, inner = pafs.FileSystem.from_uri(path)
-    else:
-        filesystem, inner = pafs.LocalFileSystem(), path.removeprefix("file:")
+    filesystem, inner = locate(path)
     filesystem.delete_dir(inner)

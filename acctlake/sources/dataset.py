@@ -11,9 +11,11 @@ from __future__ import annotations
 import pyarrow.fs as pafs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from acctlake.functions.text import date_parts, sanitize
 from acctlake.operators import layouts as L
+from acctlake.sources.files import locate
 
 PARTITIONS = ("customer", "path_system_id", "year", "month", "run_id")
 HEADER_ONLY = "header_only"
@@ -97,10 +99,7 @@ def clustered(rows: DataFrame, *keys: str) -> DataFrame:
 
 
 def _folders(path: str) -> list[str]:
-    if "://" in path:
-        filesystem, inner = pafs.FileSystem.from_uri(path)
-    else:
-        filesystem, inner = pafs.LocalFileSystem(), path.removeprefix("file:")
+    filesystem, inner = locate(path)
     infos = filesystem.get_file_info(pafs.FileSelector(inner, allow_not_found=True))
     return sorted(i.base_name for i in infos if i.type == pafs.FileType.Directory)
 
@@ -138,7 +137,13 @@ def read_table(spark: SparkSession, root: str, table: str, merge_schema: bool =
     by_table = table not in L.BY_TABLE and table != "raw"
     path = f"{root}/{HEADER_ONLY}" if by_table else f"{root}/{table}"
     if merge_schema:
-        rows = spark.read.option("mergeSchema", True).parquet(path)
+        found = spark.read.option("mergeSchema", True).parquet(path).schema
+        # directory names stay text, whatever they look like
+        names = (*PARTITIONS, "table_name")
+        kept = T.StructType(
+            [T.StructField(f.name, T.StringType()) if f.name in names else f for f in found]
+        )
+        rows = spark.read.schema(kept).parquet(path)
     else:
         rows = spark.read.schema(_stored_schema(table, by_table)).parquet(path)
     if by_table:

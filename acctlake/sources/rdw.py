@@ -21,12 +21,12 @@ import sys
 from collections.abc import Iterator
 
 import pyarrow as pa
-import pyarrow.fs as pafs
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from acctlake.session import scratch_root
+from acctlake.sources.files import locate
 
 # The task functions travel with the plan, so executors need not have this package installed.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -56,17 +56,10 @@ RANGE_SCHEMA = (
 # -- helpers that run inside tasks ---------------------------------------------------------------
 
 
-def _open(path: str):
-    if "://" not in path:  # "file:/x" or a plain local path
-        local = path[len("file:"):] if path.startswith("file:") else path
-        return pafs.LocalFileSystem().open_input_file(local)
-    filesystem, inner = pafs.FileSystem.from_uri(path)
-    return filesystem.open_input_file(inner)
-
-
 def _load(path: str, start: int, end: int) -> bytes:
     """The bytes of a range plus room for the record that crosses its end."""
-    with _open(path) as stream:
+    filesystem, inner = locate(path)
+    with filesystem.open_input_file(inner) as stream:
         return stream.read_at(end - start + LONGEST, start)
 
 

@@ -111,6 +111,47 @@ def test_stream_takes_each_file_once_and_copies_are_recognised(spark, tmp_path):
     assert latest_copies(again).count() == 3
 
 
+def test_late_and_straddling_rows_go_to_their_own_month(spark, tmp_path):
+    inbox, root, state = tmp_path / "inbox", str(tmp_path / "lake"), str(tmp_path / "state")
+    for name, days in (("on-time.bin", (120, 121)), ("late.bin", (119, 90))):
+        write(inbox, name, b"".join(framed(finish(header(30, 4, day=d))) for d in days))
+        ingest_stream(spark, str(inbox), root, state).awaitTermination()
+    months = D.read_type(spark, root, "smf30").groupBy("year", "month").count().collect()
+    assert {(r.year, r.month, r["count"]) for r in months} == {
+        ("2025", "03", 1), ("2025", "04", 2), ("2025", "05", 1)}
+
+
+def test_files_from_before_a_column_was_added(spark, tmp_path):
+    folder = tmp_path / "smf30" / "customer=0007" / "path_system_id=0001" / "year=2025" / "month=04" / "run_id=R0"
+    folder.mkdir(parents=True)
+    pq.write_table(pa.table({"job_name": ["A"], "excp_count": pa.array([1], pa.int64())}), folder / "a.parquet")
+    newer = folder.parent / "run_id=R1"
+    newer.mkdir()
+    pq.write_table(pa.table({"job_name": ["B"], "invented_later": [3]}), newer / "b.parquet")
+    rows = D.read_type(spark, str(tmp_path), "smf30").orderBy("job_name").collect()
+    assert [(r.job_name, r.excp_count, r.step_name, r.customer, r.path_system_id) for r in rows] == [
+        ("A", 1, None, "0007", "0001"), ("B", None, None, "0007", "0001")]
+    wide = D.read_type(spark, str(tmp_path), "smf30", merge_schema=True).orderBy("job_name").collect()
+    assert [(r.job_name, r.invented_later, r.customer, r.month) for r in wide] == [
+        ("A", None, "0007", "04"), ("B", 3, "0007", "04")]
+
+
+def test_dataset_root_comes_from_the_session(spark, tmp_path):
+    with pytest.raises(ValueError, match="no dataset root"):
+        D.default_root(spark)
+    spark.conf.set(D.ROOT_SETTING, str(tmp_path))
+    assert D.default_root(spark) == str(tmp_path)
+    assert D.default_root(spark, "/elsewhere/") == "/elsewhere"
+    spark.conf.unset(D.ROOT_SETTING)
+
+
+def test_drill_into_a_filtered_part(spark, sf_dir):
+    fct = marts.define_marts(acct(spark, sf_dir), seed(spark))["fct_job_consumption"]
+    whole = reports.drill(fct, ["customer"]).where("customer = 'NATION_3'").first()
+    part = reports.drill(fct, ["system_id"], customer="NATION_3").collect()
+    assert sum(r.step_runs for r in part) == whole.step_runs
+
+
 def test_build_marts_twice(spark, sf_dir, tmp_path):
     for _ in range(2):
         built = marts.build_marts(spark, acct(spark, sf_dir), seed(spark), str(tmp_path))

@@ -71,6 +71,10 @@ def test_several_files(spark, tmp_path):
         data = b"".join(framed(record(i, 30 + (i * k) % 50)) for i in range(20 * k))
         write(tmp_path, f"f{k}.bin", data)
         expected += brute_force(f"f{k}.bin", data)
+    odd = "a b%20+ü.bin"
+    data = framed(record(1))
+    write(tmp_path / "deep er", odd, data)
+    expected += brute_force(odd, data)
     assert frames(spark, str(tmp_path)) == sorted(expected)
 
 
