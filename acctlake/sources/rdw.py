@@ -20,7 +20,9 @@ import struct
 import sys
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -32,6 +34,8 @@ from acctlake.sources.files import locate
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 RANGE_BYTES = 64 * 1024 * 1024
+#: Small inputs are cut finer to keep every core busy, but below this the first pass costs more.
+SMALLEST_RANGE = 16 * 1024 * 1024
 #: Content hashes are made of blocks of this size, so they do not depend on the range size as long
 #: as that is a multiple of it.
 HASH_BLOCK = 4 * 1024 * 1024
@@ -39,12 +43,12 @@ HASH_BLOCK = 4 * 1024 * 1024
 PREFIX, LONGEST = 4, 0xFFFF
 #: Records a guessed start must be followed by; only affects how often a range is walked twice.
 GUESS_DEPTH = 12
-BATCH_BYTES = 8 * 1024 * 1024
+BATCH_BYTES, BATCH_ROWS = 8 * 1024 * 1024, 65536
 
 BAD_LENGTH, CUT_OFF, SEGMENTED = "bad length", "cut off", "segmented record"
 
 FRAME_SCHEMA = (
-    "source_file string, record_seq bigint, byte_offset bigint, frame binary, error string, "
+    "source_file string, record_seq bigint, byte_offset bigint, body binary, error string, "
     "file_hash string"
 )
 RANGE_SCHEMA = (
@@ -167,49 +171,57 @@ _RANGE_ARROW = pa.schema(
 )
 
 
-def _frame_batch(row, sequence, offset, frames, errors, file_hash) -> pa.RecordBatch:
-    rows = len(frames)
+def _frame_batch(row, sequence, offset, bodies, errors, file_hash) -> pa.RecordBatch:
+    rows = len(bodies)
     return pa.RecordBatch.from_arrays(
         [
             pa.repeat(pa.scalar(row["source_file"]), rows),
-            pa.array(range(sequence, sequence + rows), pa.int64()),
+            pa.array(np.arange(sequence, sequence + rows)),
             offset,
-            frames,
+            bodies,
             errors,
             pa.repeat(pa.scalar(file_hash), rows),
         ],
-        names=["source_file", "record_seq", "byte_offset", "frame", "error", "file_hash"],
+        names=["source_file", "record_seq", "byte_offset", "body", "error", "file_hash"],
+    )
+
+
+def _bodies(data: np.ndarray, bounds: np.ndarray) -> pa.Array:
+    """The records between consecutive bounds without their prefixes, for all of them at once."""
+    relative = bounds - bounds[0]
+    keep = np.ones(relative[-1], dtype=bool)
+    keep[relative[:-1, None] + np.arange(PREFIX)] = False
+    content = data[bounds[0] : bounds[-1]][keep]
+    offsets = (relative - PREFIX * np.arange(len(bounds))).astype(np.int32)
+    return pa.Array.from_buffers(
+        pa.binary(), len(bounds) - 1, [None, pa.py_buffer(offsets), pa.py_buffer(content)]
     )
 
 
 def _emit_frames(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The records of each range. A frame keeps its prefix, so frames lie back to back and a batch
-    is a list of offsets over the bytes that were read: nothing is copied per record."""
+    """The records of each range, in batches of about ``BATCH_BYTES``."""
     for batch in batches:
         for row in batch.to_pylist():
             start = row["range_start"]
             end = min(start + row["range_bytes"], row["length"])
             data = _load(row["source_file"], start, end)
-            buffer = pa.py_buffer(data)
             file_hash = row["file_hash"] or _hash_text(*_content_hash(data, start, end - start))
             starts, stop, error = _walk(data, row["entry"] - start, end - start)
-            bounds = starts + [stop]
+            octets = np.frombuffer(data, dtype=np.uint8)
+            bounds = np.array([*starts, stop], dtype=np.int64)
             sequence, first = row["first_seq"], 0
             while first < len(starts):
-                last = first + 1
-                room = bounds[first] + BATCH_BYTES
-                while last < len(starts) and last - first < 65536 and bounds[last + 1] <= room:
-                    last += 1
-                offsets = pa.array(bounds[first : last + 1], pa.int32())
-                frames = pa.Array.from_buffers(
-                    pa.binary(), last - first, [None, offsets.buffers()[1], buffer]
-                )
-                positions = pa.array([start + p for p in bounds[first:last]], pa.int64())
-                segmented = [
-                    SEGMENTED if data[p + 2] or data[p + 3] else None for p in bounds[first:last]
-                ]
+                full = np.searchsorted(bounds, bounds[first] + BATCH_BYTES, side="right") - 1
+                last = int(min(max(full, first + 1), len(starts), first + BATCH_ROWS))
+                at = bounds[first:last]
+                segmented = (octets[at + 2] | octets[at + 3]) != 0
                 yield _frame_batch(
-                    row, sequence, positions, frames, pa.array(segmented, pa.string()), file_hash
+                    row,
+                    sequence,
+                    pa.array(at + start),
+                    _bodies(octets, bounds[first : last + 1]),
+                    pc.if_else(pa.array(segmented), SEGMENTED, pa.scalar(None, pa.string())),
+                    file_hash,
                 )
                 sequence += last - first
                 first = last
@@ -311,7 +323,7 @@ def split_files(files: DataFrame, range_bytes: int | None = None) -> DataFrame:
     damaged frames: a bad length or a record that runs past the end of its file ends that file
     with one such row (no body); a segmented record is marked and the walk goes on.
 
-    ``range_bytes`` is 64 MB, less where the whole input is too small to keep every core busy.
+    ``range_bytes`` is 64 MB, down to 16 MB where the whole input would not keep every core busy.
     """
     spark = files.sparkSession
     files = files.where("length > 0")
@@ -324,7 +336,7 @@ def split_files(files: DataFrame, range_bytes: int | None = None) -> DataFrame:
     parallel = spark.sparkContext.defaultParallelism
     if range_bytes is None:
         share = -(-sizes["bytes"] // (2 * parallel * HASH_BLOCK)) * HASH_BLOCK
-        range_bytes = min(RANGE_BYTES, max(HASH_BLOCK, share))
+        range_bytes = min(RANGE_BYTES, max(SMALLEST_RANGE, share))
     by_size = sizes["bytes"] // range_bytes + 1
     tasks = int(min(sizes["files"] + by_size, max(parallel, by_size)))
 
@@ -344,15 +356,7 @@ def split_files(files: DataFrame, range_bytes: int | None = None) -> DataFrame:
         ranges.withColumn("range_bytes", F.lit(range_bytes).cast("long"))
         .withColumn("range_start", F.col("range_no") * F.col("range_bytes"))
     )
-    frames = _spread(located, tasks).mapInArrow(_emit_frames, FRAME_SCHEMA)
-    return frames.select(
-        "source_file",
-        "record_seq",
-        "byte_offset",
-        F.substring("frame", PREFIX + 1, LONGEST).alias("body"),
-        "error",
-        "file_hash",
-    )
+    return _spread(located, tasks).mapInArrow(_emit_frames, FRAME_SCHEMA)
 
 
 def read_records(spark: SparkSession, paths: str | list[str], glob: str | None = None,

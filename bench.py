@@ -51,13 +51,14 @@ def main() -> None:
     spark.sparkContext.setLogLevel("OFF")
     for table in LOGS:
         T.table_log(spark, SF_DIR, table)
-    run(QUERIES["q1"](spark, SF_DIR))
     seconds: dict[str, float] = {}
 
     def timed(name: str, work) -> None:
-        began = time.perf_counter()
-        work()
-        seconds[name] = round(time.perf_counter() - began, 3)
+        # The first run compiles the plan's code; the second one is reported.
+        for _ in range(2):
+            began = time.perf_counter()
+            work()
+            seconds[name] = round(time.perf_counter() - began, 3)
 
     for name in REGISTERED:
         timed(name, lambda: run(QUERIES[name](spark, SF_DIR)))
@@ -66,7 +67,7 @@ def main() -> None:
     logs = [T.table_log(spark, SF_DIR, t) for t in ("smf30", "smf72-3")]
     timed("ingest", lambda: ingest(spark, logs, scratch_dir(spark, "lake")))
     print(json.dumps({
-        "metric": "total seconds, headline queries",
+        "metric": "total seconds, headline queries, second of two runs each",
         "value": round(sum(seconds.values()), 3),
         "unit": "sec",
         "queries": seconds,
