@@ -10,6 +10,12 @@ from acctlake.operators.header import decode_header
 
 MALFORMED = "malformed"
 
+#: Route keys known beforehand; every other key is a header-only table.
+ROUTE_KEYS = (
+    *(layout.table for layout in L.LAYOUTS if not layout.table.startswith("smf74-2")),
+    "smf74-2", "raw", MALFORMED,
+)
+
 
 def table_name(record_type: Column, subtype: Column) -> Column:
     """Route key of a record.

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from acctlake.operators.decode import decode_table
-from acctlake.operators.route import MALFORMED, disposition, route, tables_of
+from acctlake.operators.route import MALFORMED, ROUTE_KEYS, disposition, route, tables_of
 from acctlake.session import drop_scratch, scratch_dir
 from acctlake.sources import dataset as D
 from acctlake.sources.rdw import list_logs, split_files
@@ -31,11 +31,21 @@ def new_run_id(now: dt.datetime) -> str:
 
 
 def stage(frames: DataFrame, path: str) -> DataFrame:
-    """Route framed records into a staging table, one folder per route key; returns it."""
-    routed = route(frames).withColumn("_month", F.date_format("smf_date", "yyyyMM"))
-    D.clustered(routed, "table_name", "system_id", "_month").write.mode("overwrite").option(
-        "compression", "zstd"
-    ).partitionBy("table_name").parquet(path)
+    """Route framed records into a staging table, one folder per publishing job; returns it.
+
+    Header-only tables share a folder: their names come from the data, and damaged records could
+    name any number of them.
+    """
+    typed = [key for key in ROUTE_KEYS if disposition(key) != "header_only"]
+    name = F.col("table_name")
+    routed = (
+        route(frames)
+        .withColumn("stage_key", F.when(name.isin(*typed), name).otherwise(F.lit(D.HEADER_ONLY)))
+        .withColumn("_month", F.date_format("smf_date", "yyyyMM"))
+    )
+    D.clustered(routed, "stage_key", "table_name", "system_id", "_month").write.mode(
+        "overwrite"
+    ).option("compression", "zstd").partitionBy("stage_key").parquet(path)
     return frames.sparkSession.read.schema(routed.schema).parquet(path)
 
 
@@ -47,11 +57,11 @@ def account(staged: DataFrame, files: DataFrame, path: str) -> DataFrame:
     says, and every file that is not empty must have at least one.
     """
     spark = staged.sparkSession
-    staged.groupBy("source_file", "table_name").agg(
+    staged.groupBy("source_file", "stage_key", "table_name").agg(
         F.count(F.lit(1)).alias("records"), F.max("record_seq").alias("last_seq")
     ).write.mode("overwrite").parquet(path)
     per_file = spark.read.schema(
-        "source_file string, table_name string, records bigint, last_seq bigint"
+        "source_file string, stage_key string, table_name string, records bigint, last_seq bigint"
     ).parquet(path)
     found = per_file.groupBy("source_file").agg(
         F.sum("records").alias("records"), (F.max("last_seq") + 1).alias("expected")
@@ -91,17 +101,16 @@ def ingest_files(files: DataFrame, root: str, customer: str = DEFAULT_CUSTOMER,
     scratch = scratch_dir(spark, "ingest")
     staged = stage(split_files(files), f"{scratch}/staged")
     per_file = account(staged, files, f"{scratch}/files")
-    # One row per table name.
+    # One row per publishing job: as many as there are layouts, at most.
     counts = {
-        r["table_name"]: r["n"]
-        for r in per_file.groupBy("table_name").agg(F.sum("records").alias("n")).collect()
+        r["stage_key"]: r["n"]
+        for r in per_file.groupBy("stage_key").agg(F.sum("records").alias("n")).collect()
     }
-    kinds = {key: disposition(key) for key in counts}
     instant = F.lit(now)
     owner = F.lit(customer)
 
     def publish(key: str) -> list[dict]:
-        records = staged.where(F.col("table_name") == key)
+        records = staged.where(F.col("stage_key") == key)
         written = []
         for table in tables_of(key):
             rows = Observation(f"{table}-{run}")
@@ -114,48 +123,47 @@ def ingest_files(files: DataFrame, root: str, customer: str = DEFAULT_CUSTOMER,
         return written
 
     def publish_header_only() -> list[dict]:
-        names = [key for key, kind in kinds.items() if kind == "header_only"]
-        records = staged.where(F.col("table_name").isin(names))
-        decoded = decode_table(records.withColumn("body", F.lit(None).cast("binary")), "header",
-                               instant, run, keep=("table_name",))
+        records = staged.where(F.col("stage_key") == D.HEADER_ONLY)
+        decoded = decode_table(records, "header", instant, run, keep=("table_name",))
         D.write_table(D.with_partitions(decoded, owner), f"{root}/{D.HEADER_ONLY}", by_table=True)
-        return [{"table_name": name, "rows": counts[name]} for name in names]
+        return []
 
     def publish_malformed() -> list[dict]:
         # Kept as found: where the frame is, what was wrong, and its bytes if it had any.
-        bad = staged.where(F.col("table_name") == MALFORMED).select(
+        bad = staged.where(F.col("stage_key") == MALFORMED).select(
             "source_file", "record_seq", "byte_offset", "error", "body", "file_hash",
             instant.alias("ingest_ts"), F.lit(run).alias("run_id"),
         )
         _replace_run(bad, f"{root}/{D.MALFORMED}")
         return [{"table_name": MALFORMED, "rows": counts[MALFORMED]}]
 
-    jobs = [lambda key=key: publish(key) for key, kind in kinds.items() if kind in ("typed", "raw")]
-    if "header_only" in kinds.values():
-        jobs.append(publish_header_only)
-    if MALFORMED in kinds:
-        jobs.append(publish_malformed)
+    special = {D.HEADER_ONLY: publish_header_only, MALFORMED: publish_malformed}
+    jobs = [special.get(key, lambda key=key: publish(key)) for key in counts]
     with ThreadPoolExecutor(WRITERS) as pool:
         rows = {r["table_name"]: r["rows"] for job in pool.map(lambda j: j(), jobs) for r in job}
 
-    audit = []
-    for key, n in sorted(counts.items()):
-        for table in tables_of(key):
-            audit.append(
-                {
-                    "run_id": run,
-                    "ingest_ts": now,
-                    "table_name": table,
-                    "disposition": kinds[key],
-                    # the second table of a shared record must not count it twice
-                    "records": n if table == tables_of(key)[0] else 0,
-                    "rows": rows.get(table, 0),
-                }
-            )
-    result = spark.createDataFrame(audit, D.AUDIT_SCHEMA)
-    _replace_run(result.coalesce(1), f"{root}/{D.AUDIT}")
+    audit = [
+        # the second table of a shared record must not count it twice
+        (now, table, disposition(key), n if table == tables_of(key)[0] else 0, rows[table], run)
+        for key, n in counts.items()
+        if key != D.HEADER_ONLY
+        for table in tables_of(key)
+    ]
+    headers = per_file.where(F.col("stage_key") == D.HEADER_ONLY).groupBy("table_name").agg(
+        F.sum("records").alias("records")
+    )
+    result = spark.createDataFrame(audit, D.AUDIT_SCHEMA).unionByName(
+        headers.select(
+            instant.alias("ingest_ts"), "table_name", F.lit(D.HEADER_ONLY).alias("disposition"),
+            "records", F.col("records").alias("rows"), F.lit(run).alias("run_id"),
+        )
+    )
+    if counts:
+        _replace_run(result.coalesce(1), f"{root}/{D.AUDIT}")
     drop_scratch(spark, scratch)
-    return result
+    return D.read_audit(spark, root).where(F.col("run_id") == run) if counts else spark.createDataFrame(
+        [], D.AUDIT_SCHEMA
+    )
 
 
 def _replace_run(rows: DataFrame, path: str) -> None:
