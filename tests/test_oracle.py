@@ -12,11 +12,12 @@ def con():
     return connect(SF_DIR)
 
 
-def test_every_query_has_sql():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+def test_every_sql_has_a_query():
+    assert set(entry.oracle_sql()) <= set(entry.queries())
+    assert set(entry.queries()) - set(entry.oracle_sql()) <= set(entry.LLM_QUERIES)
 
 
-@pytest.mark.parametrize("name", list(entry.queries()))
+@pytest.mark.parametrize("name", list(entry.oracle_sql()))
 def test_query(name, spark, sf_dir, con):
     problem = compare(entry.queries()[name](spark, sf_dir), con, entry.oracle_sql()[name])
     assert problem is None, problem
