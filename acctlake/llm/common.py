@@ -36,7 +36,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def with_key(df: DataFrame, *columns: str) -> Column:
+def with_key(*columns: str) -> Column:
     """128 bits that stand for the values of ``columns``; NULL and empty text differ."""
     parts = [F.col(c) for c in columns]
     nulls = F.concat(*[F.when(p.isNull(), "1").otherwise("0") for p in parts])

@@ -3,11 +3,21 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from acctlake.llm import mixing, warc
+from acctlake.llm import line_dedup, mixing, simhash, warc
 from acctlake.llm.common import table
 
 
+def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cleaned = line_dedup.dedup_lines(table(spark, sf_dir, "documents"))
+    return cleaned.select("doc_id", "text", F.size("lines_deleted").alias("n_deleted"), "lines_deleted")
+
+
+def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.archive_and_read(table(spark, sf_dir, "pages"))
 
@@ -17,6 +27,8 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op4_line_dedup": op4_line_dedup,
+    "op6_simhash": op6_simhash,
     "op7_warc": op7_warc,
     "op10_mixing": op10_mixing,
 }
