@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from acctlake.llm import line_dedup, mixing, simhash, warc
+from acctlake.llm import decontaminate, line_dedup, mixing, simhash, warc
 from acctlake.llm.common import table
 
 
@@ -22,6 +22,11 @@ def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.archive_and_read(table(spark, sf_dir, "pages"))
 
 
+def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.drop("ka", "kb")
+
+
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
 
@@ -30,6 +35,7 @@ QUERIES = {
     "op4_line_dedup": op4_line_dedup,
     "op6_simhash": op6_simhash,
     "op7_warc": op7_warc,
+    "op9_decontaminate": op9_decontaminate,
     "op10_mixing": op10_mixing,
 }
 
