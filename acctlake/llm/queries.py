@@ -5,15 +5,26 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from acctlake.llm import decontaminate, line_dedup, mixing, simhash, warc
+from acctlake.llm import decontaminate, html_text, language, line_dedup, mixing, simhash, toxicity, warc
 from acctlake.llm.common import table
 
 
+def op1_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = language.train(docs.where(~language.held_out()))
+    found = language.predict(docs, model)
+    return found.select("doc_id", language.held_out().alias("held_out"), "lang_pred", "score", "shares", "fit")
+
+
 def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     cleaned = line_dedup.dedup_lines(table(spark, sf_dir, "documents"))
     return cleaned.select("doc_id", "text", F.size("lines_deleted").alias("n_deleted"), "lines_deleted")
 
 
+def op5_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract(table(spark, sf_dir, "pages"))
+
+
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -22,6 +33,12 @@ def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.archive_and_read(table(spark, sf_dir, "pages"))
 
 
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = toxicity.fit(toxicity.labelled_texts(docs, table(spark, sf_dir, "labels")))
+    return toxicity.predict(docs, model)
+
+
 def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return found.drop("ka", "kb")
@@ -32,9 +49,12 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_language": op1_language,
     "op4_line_dedup": op4_line_dedup,
+    "op5_html_text": op5_html_text,
     "op6_simhash": op6_simhash,
     "op7_warc": op7_warc,
+    "op8_toxicity": op8_toxicity,
     "op9_decontaminate": op9_decontaminate,
     "op10_mixing": op10_mixing,
 }
