@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from acctlake.llm import decontaminate, html_text, language, line_dedup, mixing, simhash, toxicity, warc
+from acctlake.llm import decontaminate, html_text, language, line_dedup, mixing, nearest, pii, simhash, toxicity, warc
 from acctlake.llm.common import table
 
 
@@ -16,6 +16,15 @@ def op1_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", language.held_out().alias("held_out"), "lang_pred", "score", "shares", "fit")
 
 
+def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return pii.digest(pii.find(docs, pii.train(docs)))
+
+
+def op3_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest.nearest(table(spark, sf_dir, "embeddings"), "vec_id % 50 = 0")
+
+
 def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     cleaned = line_dedup.dedup_lines(table(spark, sf_dir, "documents"))
     return cleaned.select("doc_id", "text", F.size("lines_deleted").alias("n_deleted"), "lines_deleted")
@@ -50,6 +59,8 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_language": op1_language,
+    "op2_pii": op2_pii,
+    "op3_nearest": op3_nearest,
     "op4_line_dedup": op4_line_dedup,
     "op5_html_text": op5_html_text,
     "op6_simhash": op6_simhash,
