@@ -14,7 +14,7 @@ only that bin is sorted. Targets come from one row per source.
 Defined results. NULL or empty text: size 0, taken 0. Sources are compared by code point, a NULL source is
 a queue of its own and comes last. Equal finish times are decided by source, shuffle key and
 document, then repeat; identical rows are interchangeable. A source without words has target 0. An empty
-table gives no rows. Columns of ``docs`` other than the named ones are not read; none is carried, so names cannot clash.
+table gives no rows. Columns of ``docs`` other than the named ones are not read; those in ``carried`` come back in a struct, so names cannot clash.
 """
 
 from __future__ import annotations
@@ -102,8 +102,10 @@ def mix(
     doc_id: str = "doc_id",
     text: str = "text",
     source: str = "source",
+    carried: Sequence[str] = (),
 ) -> DataFrame:
-    """One row per document: ``doc_id, source, size, source_size, target, taken``.
+    """One row per document: ``doc_id, source, size, source_size, target, taken``, and if ``carried`` names columns, these as
+    the struct ``carried``.
 
     ``taken`` is the number of words the mix takes of the document, repeats counted; the budget is
     ``share`` times all words.
@@ -113,6 +115,7 @@ def mix(
         docs.select(
             F.col(doc_id).alias("doc_id"), F.col(source).cast("string").alias("source"),
             word_count(F.col(text)).alias("size"), key.alias("key"),
+            *([F.struct(*carried).alias("carried")] if carried else []),
         ),
         "sized",
     )
@@ -151,7 +154,8 @@ def mix(
         (F.when(_taken(finish[n], n, last), 1).otherwise(0) for n in range(max_repeats)), F.lit(0)
     )
     return queued.select(
-        "doc_id", "source", "size", "source_size", "target", (F.col("size") * copies).alias("taken")
+        "doc_id", "source", "size", "source_size", "target", (F.col("size") * copies).alias("taken"),
+        *(["carried"] if carried else []),
     )
 
 

@@ -35,7 +35,7 @@ def op5_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return simhash.near_duplicates(table(spark, sf_dir, "documents"))
+    return simhash.near_duplicates(table(spark, sf_dir, "documents")).drop("component")
 
 
 def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -19,13 +19,14 @@ is not NULL, NULL if there is none. Empty tables give no rows; other columns are
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from acctlake.llm.common import ship, stage
 from acctlake.llm.components import components
@@ -61,16 +62,22 @@ def fingerprint(text: str | None, width: int = 3) -> int:
     return int(packed.view(">i8")[0])
 
 
-def fingerprints(docs: DataFrame, width: int = 3, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """``doc_id, fp`` of every row."""
+def fingerprints(
+    docs: DataFrame, width: int = 3, doc_id: str = "doc_id", text: str = "text", carried: Sequence[str] = ()
+) -> DataFrame:
+    """``doc_id, fp`` of every row, and the ``carried`` columns."""
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = pa.array([fingerprint(t, width) for t in batch.column(1).to_pylist()], pa.int64())
-            yield pa.RecordBatch.from_arrays([batch.column(0), found], ["doc_id", "fp"])
+            texts = batch.column(batch.num_columns - 1).to_pylist()
+            found = pa.array([fingerprint(t, width) for t in texts], pa.int64())
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns[:-1], found], [*batch.schema.names[:-1], "fp"]
+            )
 
-    kept = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
-    return kept.mapInArrow(each, "doc_id long, fp long")
+    kept = docs.select(F.col(doc_id).cast("long").alias("doc_id"), *carried, F.col(text).cast("string").alias("fp"))
+    schema = StructType([*kept.schema.fields[:-1], StructField("fp", LongType())])
+    return kept.mapInArrow(each, schema)
 
 
 def _turned(fp: Column, bits: int) -> Column:
@@ -136,17 +143,17 @@ def _signed(value: int) -> int:
 
 def near_duplicates(
     docs: DataFrame, width: int = 3, distance: int = 2, segments: int = 16,
-    doc_id: str = "doc_id", text: str = "text",
+    doc_id: str = "doc_id", text: str = "text", carried: Sequence[str] = (),
 ) -> DataFrame:
-    """``doc_id, fingerprint, component_id`` of every row."""
-    found = stage(fingerprints(docs, width, doc_id, text), "fingerprints")
+    """``doc_id, fingerprint, component_id`` of every row, ``component`` (a number for the group) and the ``carried`` columns."""
+    found = stage(fingerprints(docs, width, doc_id, text, carried), "fingerprints")
     nodes = stage(found.groupBy("fp").agg(F.min("doc_id").alias("least")), "nodes")
     roots = components(links(nodes.select("fp"), distance, segments)).withColumnRenamed("node", "fp")
     rooted = nodes.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
     ids = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    labels = rooted.join(ids, "root").select("fp", "component_id")
+    labels = rooted.join(ids, "root").select("fp", "component_id", F.col("root").alias("component"))
     return found.join(labels, "fp").select(
-        "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
+        "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id", "component", *carried
     )
 
 
