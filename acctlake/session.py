@@ -33,11 +33,18 @@ def build_session(app_name: str = "acctlake", **settings: str) -> SparkSession:
 
 
 def scratch_root(spark: SparkSession) -> str:
-    """The shared folder named in ``spark.checkpoint.dir``; a local one only where none is set."""
+    """The shared folder named in ``spark.checkpoint.dir``.
+
+    Only a session that runs on one machine may leave it unset and gets a local one: on a cluster
+    each executor would write to its own disk.
+    """
     configured = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get(
         "spark.checkpoint.dir", None
     )
     if not configured:
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
+            raise ValueError(f"set spark.checkpoint.dir to a folder that all machines of {master} share")
         configured = tempfile.mkdtemp(prefix="acctlake-")
         spark.conf.set("spark.checkpoint.dir", configured)
     if spark.sparkContext.getCheckpointDir() is None:

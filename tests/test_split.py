@@ -11,6 +11,11 @@ from logs import finish, framed, header, write
 from acctlake.sources import rdw
 
 
+@pytest.fixture(autouse=True)
+def any_range_size(monkeypatch):
+    monkeypatch.setattr(rdw, "HASH_BLOCK", 1)
+
+
 def frames(spark, path, **more):
     rows = rdw.read_records(spark, path, **more).collect()
     return sorted(
@@ -125,6 +130,50 @@ def test_content_hash_does_not_depend_on_ranges_or_names(spark, tmp_path, monkey
     assert whole["a"] == whole["b"] != whole["c"]
 
 
+@pytest.mark.parametrize("inner", ["less the prefix", "whole", "zero"])
+def test_number_of_jobs_does_not_depend_on_ranges(spark, tmp_path, inner):
+    def one(i):
+        body = bytearray(record(i, 60 + i % 90))
+        number = {"less the prefix": len(body), "whole": len(body) + 4, "zero": 0}[inner]
+        body[0:2] = struct.pack(">H", number)
+        return framed(bytes(body))
+
+    data = b"".join(one(i) for i in range(1200))
+    path = write(tmp_path, "big.bin", data)
+    tracker = spark.sparkContext.statusTracker()
+
+    def jobs(range_bytes):
+        spark.sparkContext.setJobGroup(f"{inner}-{range_bytes}", "")
+        got = frames(spark, path, range_bytes=range_bytes)
+        assert got == brute_force("big.bin", data)
+        return len(tracker.getJobIdsForGroup(f"{inner}-{range_bytes}"))
+
+    few, many = jobs(40_000), jobs(2_000)
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert few == many
+
+
+def test_every_entry_leaves_where_a_walk_does():
+    rng = random.Random(3)
+    for size in (0, 3, 500, 70_000, 200_000):
+        data = rng.randbytes(size) if size < 1000 else b"".join(framed(rng.randbytes(rng.randint(0, 300))) for _ in range(size // 150))
+        for span in {1, len(data) // 2, max(1, len(data) - 10), max(1, len(data))}:
+            leaves = rdw._leaves(data, span)
+            for entry in [*range(0, min(400, rdw.LONGEST)), *(rng.randrange(rdw.LONGEST) for _ in range(400))]:
+                starts, stop, error = rdw._walk(data, entry, span)
+                past, frames_, broke = leaves[entry]
+                assert (frames_, broke) == (len(starts) + (error is not None), error is not None)
+                assert error or past == stop - span
+
+
+def test_ranges_must_be_whole_blocks(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(rdw, "HASH_BLOCK", 1024)
+    path = write(tmp_path, "a.bin", framed(record(1)))
+    for wrong in (0, -1024, 1500):
+        with pytest.raises(ValueError, match="multiple of 1024"):
+            rdw.read_records(spark, path, range_bytes=wrong)
+
+
 @settings(max_examples=8, deadline=None,
           suppress_health_check=[HealthCheck.function_scoped_fixture, HealthCheck.too_slow])
 @given(
