@@ -58,24 +58,29 @@ def _query(name: str, sql: str | None = None):
 
 # -- named models, queries and reports -----------------------------------------------------------
 
+# One row per customer and job. Of the patterns that match the name the longest counts, of equally long ones the first
+# by text; without any the job is unmapped.
 _DIM_SQL = f"""
 best AS (
-  SELECT DISTINCT ON (n.job_name) n.job_name, m.application, m.app_group
-  FROM (SELECT DISTINCT job_name FROM acct) n JOIN {seed_sql()}
-    ON n.job_name LIKE replace(m.job_pattern, '*', '%')
-  ORDER BY n.job_name, length(m.job_pattern) DESC, m.job_pattern),
+  SELECT n.job_name, m.application, m.app_group,
+         row_number() OVER (PARTITION BY n.job_name ORDER BY length(m.job_pattern) DESC, m.job_pattern) AS place
+  FROM (SELECT DISTINCT job_name FROM acct) n
+  JOIN {seed_sql()} ON n.job_name LIKE replace(m.job_pattern, '*', '%')),
 dim AS (
-  SELECT concat(customer, '|', job_name) AS app_key, customer, job_name,
-         ifnull(application, '(unmapped)') AS application, ifnull(app_group, 'Unassigned') AS app_group
-  FROM (SELECT DISTINCT customer, job_name FROM acct) LEFT JOIN best USING (job_name))"""
+  SELECT j.customer || '|' || j.job_name AS app_key, j.customer, j.job_name,
+         coalesce(b.application, '(unmapped)') AS application,
+         coalesce(b.app_group, 'Unassigned') AS app_group
+  FROM (SELECT DISTINCT customer, job_name FROM acct) j
+  LEFT JOIN best b ON b.job_name = j.job_name AND b.place = 1)"""
 
 _FCT_SQL = """
 fct AS (
   SELECT acct.* EXCLUDE (subsystem_id), dim.application, dim.app_group
   FROM acct LEFT JOIN dim USING (customer, job_name))"""
 
-_JOB_LABEL = "CASE WHEN job_name = '' THEN '(no job name)' ELSE job_name END"
-_PROGRAM_LABEL = "CASE WHEN program_name = '' THEN '(none)' ELSE program_name END"
+# A missing or empty name has a label of its own.
+_JOB_LABEL = "coalesce(nullif(job_name, ''), '(no job name)')"
+_PROGRAM_LABEL = "coalesce(nullif(program_name, ''), '(none)')"
 
 
 def _sums(places: int, *columns: str) -> str:
@@ -231,7 +236,8 @@ for _depth, _name in enumerate(("customer", "application", "job", "step"), start
            CAST(sum(excp_count) AS BIGINT) AS excp
     FROM fct GROUP BY {', '.join(_levels)}""")
     def _(spark, sf_dir, levels=_levels):
-        return R.drill(_marts(spark, sf_dir)["fct_job_consumption"], levels)
+        rows, dim = M.job_rows(_marts(spark, sf_dir))
+        return R.drill(rows, levels, dim=dim)
 
 
 @_query("r6_drill_filtered", f"""{_MARTS_SQL}
@@ -243,8 +249,9 @@ GROUP BY application, job_name""")
 def _(spark, sf_dir):
     import datetime as dt
 
+    rows, dim = M.job_rows(_marts(spark, sf_dir))
     return R.drill(
-        _marts(spark, sf_dir)["fct_job_consumption"], ("application", "job_name"),
+        rows, ("application", "job_name"), dim=dim,
         customer="NATION_7", system_id="SYS1", first=dt.date(1996, 1, 1), last=dt.date(1998, 12, 31),
     )
 
@@ -286,15 +293,16 @@ def _(spark, sf_dir):
 
 
 @_query("w01_most_specific", f"""{_WITH_ACCT}, {_DIM_SQL.lstrip()}
-SELECT DISTINCT customer, job_name, best.application, best.app_group FROM acct JOIN best USING (job_name)""")
+SELECT DISTINCT customer, job_name, best.application, best.app_group
+FROM acct JOIN best USING (job_name) WHERE best.place = 1""")
 def _(spark, sf_dir):
     matches = mapping.pattern_matches(_jobs(spark, sf_dir), seed(spark))
     return mapping.most_specific(matches, "customer", "job_name").drop("job_pattern")
 
 
 @_query("j02_left_join_rn", f"""{_WITH_ACCT}, {_DIM_SQL.lstrip()}
-SELECT DISTINCT customer, job_name, best.application, best.app_group
-FROM acct LEFT JOIN best USING (job_name)""")
+SELECT DISTINCT customer, job_name, first.application, first.app_group
+FROM acct LEFT JOIN (SELECT * FROM best WHERE place = 1) first USING (job_name)""")
 def _(spark, sf_dir):
     jobs = _jobs(spark, sf_dir)
     best = mapping.most_specific(

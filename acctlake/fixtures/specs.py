@@ -62,10 +62,10 @@ SPECS = {
         ), arrays={2: ("4", 16)}, extra=(
             ("cp_count", "2 - p_size % 2"),
             ("cp_wait_ms", "(p_partkey + CASE WHEN p_size % 2 = 0 THEN p_size ELSE 0 END) * 10"),
-            ("cp_parked_ms", "0"),
+            ("cp_parked_ms", "NULL"),
             ("ziip_lp_count", "1 + p_size % 2"),
             ("ziip_wait_ms", f"({_PRICE} + CASE WHEN p_size % 2 = 0 THEN 0 ELSE p_size END) * 10"),
-            ("ziip_parked_ms", "0"),
+            ("ziip_parked_ms", "NULL"),
         )),
         _lines("smf70-2", 70, 2, 4, (
             "product",

@@ -16,41 +16,38 @@ NOT_NULL = {
 UNIQUE = {"dim_application": ("app_key",), "map_job_application": ("job_pattern",)}
 
 
-def not_null(model: str, df: DataFrame) -> DataFrame:
-    """``model, check, column_name, failures`` for every column that must be filled: one pass."""
-    columns = NOT_NULL.get(model, ())
-    counted = df.agg(
-        *[F.count_if(F.col(c).isNull()).cast("long").alias(c) for c in columns]
-    )
-    return counted.unpivot([], list(columns), "column_name", "failures").select(
-        F.lit(model).alias("model"), F.lit("not_null").alias("check"), "column_name", "failures"
-    )
-
-
-def unique(model: str, df: DataFrame) -> DataFrame:
-    """``model, check, column_name, failures``: values that occur more than once."""
-    out = None
-    for column in UNIQUE.get(model, ()):
-        repeated = (
-            df.where(F.col(column).isNotNull())
-            .groupBy(column)
-            .agg(F.count(F.lit(1)).alias("n"))
-            .agg(F.count_if(F.col("n") > 1).cast("long").alias("failures"))
-            .select(
-                F.lit(model).alias("model"),
-                F.lit("unique").alias("check"),
-                F.lit(column).alias("column_name"),
-                "failures",
-            )
+def check_model(model: str, df: DataFrame) -> DataFrame:
+    """``model, check, column_name, failures`` of all checks of a model: one pass over it.
+
+    ``not_null`` counts rows, ``unique`` counts values that occur more than once. Rows of equal values are added up
+    before the shuffle.
+    """
+    filled, (key, *more) = NOT_NULL.get(model, ()), UNIQUE.get(model, (None,))
+    if more:
+        raise ValueError(f"{model}: only one column can be checked to be unique")
+    nulls = {f"{c}|not_null": F.count_if(F.col(c).isNull()) for c in filled}
+    if key is None:
+        counted = df.agg(*[v.alias(k) for k, v in nulls.items()])
+    else:
+        by_value = df.groupBy(F.col(key).alias("_value")).agg(
+            F.count(F.lit(1)).alias("_rows"), *[v.alias(k) for k, v in nulls.items()]
         )
-        out = repeated if out is None else out.unionByName(repeated)
-    return out
+        repeated = F.count_if((F.col("_rows") > 1) & F.col("_value").isNotNull())
+        counted = by_value.agg(
+            *[F.coalesce(F.sum(f"`{k}`"), F.lit(0)).alias(k) for k in nulls], repeated.alias(f"{key}|unique")
+        )
+    names = counted.columns
+    return counted.unpivot([], [f"`{n}`" for n in names], "_name", "failures").select(
+        F.lit(model).alias("model"),
+        F.split_part("_name", F.lit("|"), F.lit(2)).alias("check"),
+        F.split_part("_name", F.lit("|"), F.lit(1)).alias("column_name"),
+        F.col("failures").cast("long").alias("failures"),
+    )
 
 
 def run_checks(models: dict[str, DataFrame]) -> DataFrame:
     """All checks of the given models as one table."""
-    parts = [not_null(m, df) for m, df in models.items() if m in NOT_NULL]
-    parts += [unique(m, df) for m, df in models.items() if m in UNIQUE]
+    parts = [check_model(m, df) for m, df in models.items() if m in NOT_NULL or m in UNIQUE]
     out = parts[0]
     for part in parts[1:]:
         out = out.unionByName(part)

@@ -75,6 +75,9 @@ def _processors(body: Column, section: Section) -> Column:
 
 def _roll_up(field: L.Field, processors: Column) -> Column:
     """Count of, or summed milliseconds over, the processors of one type in a record."""
+    if "parked" in field.name and L.CPU_ENTRY["parked"] is None:
+        # No offset is published: unknown, not zero.
+        return F.lit(None).cast("long")
     chosen = F.filter(processors, lambda p: p["kind"] == F.lit(field.code))
     if field.kind == "cpu_count":
         return F.size(chosen).cast("long")

@@ -2,8 +2,8 @@
 
 A pattern can match anywhere in a name, so the plain form of this join compares every job with
 every pattern. Here both sides get equality keys instead: a pattern's key is its longest stretch of
-ordinary characters, a job's keys are all the substrings of its name as long as some pattern key.
-Whatever a pattern matches contains its key, so the equality join finds every candidate, and LIKE
+ordinary characters, a job's keys are the substrings of its name that are as long as some pattern key.
+Each different name is matched once, however many rows have it. Whatever a pattern matches contains its key, so the equality join finds every candidate, and LIKE
 decides. Spark then chooses the join by the measured size of the pattern table; nothing is
 broadcast by force and no side is multiplied by the other.
 """
@@ -28,30 +28,38 @@ def pattern_key(pattern: Column) -> Column:
     )
 
 
-def name_keys(name: Column) -> Column:
-    """All distinct substrings of a name, and ''. Names are short: 8 characters give at most 37."""
-    starts = F.sequence(F.lit(1), F.greatest(F.length(name), F.lit(1)))
+def name_keys(name: Column, sizes: Column) -> Column:
+    """The distinct substrings of a name that have one of the given sizes."""
     pieces = F.flatten(
         F.transform(
-            starts,
-            lambda at: F.transform(
-                F.sequence(F.lit(0), F.greatest(F.length(name) - at + F.lit(1), F.lit(0))),
-                lambda size: F.substring(name, at, size),
+            F.filter(sizes, lambda size: size <= F.length(name)),
+            lambda size: F.transform(
+                F.sequence(F.lit(1), F.greatest(F.length(name) - size, F.lit(0)) + F.lit(1)),
+                lambda at: F.substring(name, at, size),
             ),
         )
     )
     return F.array_distinct(pieces)
 
 
-def pattern_matches(names: DataFrame, patterns: DataFrame, name: str = "job_name") -> DataFrame:
-    """Every (name, pattern) pair that matches: the inner LIKE join of the two sides."""
+def _keyed_patterns(patterns: DataFrame) -> tuple[DataFrame, Column]:
+    """The patterns with their key, and the sizes that keys have: as many as the longest pattern has letters, at most."""
     keyed = patterns.withColumn("_key", pattern_key(F.col("job_pattern")))
-    exploded = names.withColumn("_key", F.explode(name_keys(F.col(name))))
-    return (
-        exploded.join(keyed, "_key")
-        .where(glob_match(F.col(name), F.col("job_pattern")))
-        .drop("_key")
+    return keyed, keyed.agg(F.collect_set(F.length("_key"))).scalar()
+
+
+def pattern_matches(names: DataFrame, patterns: DataFrame, name: str = "job_name") -> DataFrame:
+    """Every (row, pattern) pair whose name matches: the inner LIKE join of the two sides."""
+    keyed, sizes = _keyed_patterns(patterns)
+    different = names.select(F.col(name).alias("_name")).where("_name is not null").distinct()
+    matched = (
+        different.withColumn("_sizes", sizes)
+        .withColumn("_key", F.explode(name_keys(F.col("_name"), F.col("_sizes"))))
+        .join(keyed, "_key")
+        .where(glob_match(F.col("_name"), F.col("job_pattern")))
+        .drop("_key", "_sizes")
     )
+    return names.join(matched, F.col(name) == F.col("_name")).drop("_name")
 
 
 def most_specific(matches: DataFrame, *keys: str) -> DataFrame:
@@ -61,27 +69,30 @@ def most_specific(matches: DataFrame, *keys: str) -> DataFrame:
 
 
 def best_match(names: DataFrame, patterns: DataFrame, name: str = "job_name") -> DataFrame:
-    """Application and group per name that matches a pattern at all.
+    """The rows of ``names``, which must be distinct, with ``application, app_group`` of the most specific pattern; NULL
+    where none matches.
 
-    Same rule as :func:`most_specific`, as an aggregate: it combines before the shuffle, so a
-    name that matches very many patterns does not meet them all in one task.
+    Same rule as :func:`most_specific`, as an aggregate: it combines before the shuffle, so a name that matches very
+    many patterns does not meet them all in one task. ``names`` is read once.
     """
+    keyed, sizes = _keyed_patterns(patterns)
     rank = F.struct((-F.length("job_pattern")).alias("l"), F.col("job_pattern").alias("p"))
-    chosen = F.min_by(F.struct("application", "app_group"), rank)
+    matches = F.col("job_pattern").isNotNull() & glob_match(F.col(name), F.col("job_pattern"))
+    chosen = F.min_by(F.struct("application", "app_group"), F.when(matches, rank))
     return (
-        pattern_matches(names, patterns, name)
-        .groupBy(name)
+        names.withColumn("_sizes", sizes)
+        .withColumn("_key", F.explode_outer(name_keys(F.col(name), F.col("_sizes"))))
+        .join(keyed, "_key", "left")
+        .groupBy(*names.columns)
         .agg(chosen.alias("_m"))
-        .select(name, "_m.application", "_m.app_group")
+        .select(*names.columns, "_m.application", "_m.app_group")
     )
 
 
 def dim_application(staged: DataFrame, patterns: DataFrame) -> DataFrame:
     """One row per (customer, job_name) with its application; nothing is lost when none matches."""
     jobs = staged.select("customer", "job_name").distinct()
-    # The pattern only looks at the name, so each name is matched once for all customers.
-    matched = best_match(jobs.select("job_name").distinct(), patterns)
-    return jobs.join(matched, "job_name", "left").select(
+    return best_match(jobs, patterns).select(
         F.concat("customer", F.lit("|"), "job_name").alias("app_key"),
         "customer",
         "job_name",

@@ -19,7 +19,7 @@ from acctlake.operators.decode import decode_table
 from acctlake.operators.route import MALFORMED, ROUTE_KEYS, disposition, route, tables_of
 from acctlake.session import drop_scratch, scratch_dir
 from acctlake.sources import dataset as D
-from acctlake.sources.rdw import list_logs, split_files
+from acctlake.sources.rdw import PREFIX, list_logs, split_files
 
 DEFAULT_CUSTOMER = "INTERNAL"
 #: Tables written at the same time; each is its own Spark job and small ones would idle the rest.
@@ -52,26 +52,39 @@ def stage(frames: DataFrame, path: str) -> DataFrame:
 def account(staged: DataFrame, files: DataFrame, path: str) -> DataFrame:
     """Records per file and table, stored at ``path``; raises if any record is missing.
 
-    The check does not trust task counters, which repeat when tasks do. Sequence numbers are given
-    out by the splitter, so a file is complete when it has as many records as its last number
-    says, and every file that is not empty must have at least one.
+    The check does not trust task counters, which repeat when tasks do. A file is complete if its records and
+    their prefixes fill it from the first byte to the last, or to the frame that ended it, and if their
+    sequence numbers are 0 to n - 1: n of them with that smallest, largest and sum.
     """
     spark = staged.sparkSession
     staged.groupBy("source_file", "stage_key", "table_name").agg(
-        F.count(F.lit(1)).alias("records"), F.max("record_seq").alias("last_seq")
+        F.count(F.lit(1)).alias("records"),
+        F.min("record_seq").alias("first_seq"), F.max("record_seq").alias("last_seq"),
+        F.sum("record_seq").cast("decimal(38,0)").alias("seq_sum"),
+        F.sum(F.length("body") + F.lit(PREFIX)).alias("bytes"),
+        F.max(F.when(F.col("body").isNull(), F.col("byte_offset"))).alias("broken_at"),
     ).write.mode("overwrite").parquet(path)
     per_file = spark.read.schema(
-        "source_file string, stage_key string, table_name string, records bigint, last_seq bigint"
+        "source_file string, stage_key string, table_name string, records bigint, first_seq bigint, last_seq bigint, "
+        "seq_sum decimal(38,0), bytes bigint, broken_at bigint"
     ).parquet(path)
     found = per_file.groupBy("source_file").agg(
-        F.sum("records").alias("records"), (F.max("last_seq") + 1).alias("expected")
+        F.sum("records").alias("records"), F.min("first_seq").alias("first"), F.max("last_seq").alias("last"),
+        F.sum("seq_sum").alias("seq_sum"),
+        F.coalesce(F.sum("bytes"), F.lit(0)).alias("bytes"), F.max("broken_at").alias("broken_at"),
+    )
+    n = F.col("records").cast("decimal(18,0)")
+    complete = (
+        (F.col("first") == 0) & (F.col("last") == F.col("records") - 1)
+        & (F.col("seq_sum") * 2 == n * (n - 1))
+        & (F.col("bytes") == F.coalesce("broken_at", "length"))
     )
     wrong = (
         files.where("length > 0")
-        .select("source_file")
+        .select("source_file", "length")
         .distinct()
         .join(found, "source_file", "left")
-        .where("records is null or records <> expected")
+        .where(~F.coalesce(complete, F.lit(False)))
         .select(F.count(F.lit(1)).alias("n"), F.min("source_file").alias("example"))
         .first()
     )
@@ -99,71 +112,73 @@ def ingest_files(files: DataFrame, root: str, customer: str = DEFAULT_CUSTOMER,
     now = ingest_ts or dt.datetime.now(dt.timezone.utc)
     run = run_id or new_run_id(now)
     scratch = scratch_dir(spark, "ingest")
-    staged = stage(split_files(files), f"{scratch}/staged")
-    per_file = account(staged, files, f"{scratch}/files")
-    # One row per publishing job: as many as there are layouts, at most.
-    counts = {
-        r["stage_key"]: r["n"]
-        for r in per_file.groupBy("stage_key").agg(F.sum("records").alias("n")).collect()
-    }
-    instant = F.lit(now)
-    owner = F.lit(customer)
-
-    def publish(key: str) -> list[dict]:
-        records = staged.where(F.col("stage_key") == key)
-        written = []
-        for table in tables_of(key):
-            rows = Observation(f"{table}-{run}")
-            decoded = decode_table(records, table, instant, run)
-            D.write_table(
-                D.with_partitions(decoded, owner).observe(rows, F.count(F.lit(1)).alias("rows")),
-                f"{root}/{table}",
+    try:
+        staged = stage(split_files(files), f"{scratch}/staged")
+        per_file = account(staged, files, f"{scratch}/files")
+        # One row per publishing job: as many as there are layouts, at most.
+        counts = {
+            r["stage_key"]: r["n"]
+            for r in per_file.groupBy("stage_key").agg(F.sum("records").alias("n")).collect()
+        }
+        instant = F.lit(now)
+        owner = F.lit(customer)
+
+        def publish(key: str) -> list[dict]:
+            records = staged.where(F.col("stage_key") == key)
+            written = []
+            for table in tables_of(key):
+                rows = Observation(f"{table}-{run}")
+                decoded = decode_table(records, table, instant, run)
+                D.write_table(
+                    D.with_partitions(decoded, owner).observe(rows, F.count(F.lit(1)).alias("rows")),
+                    f"{root}/{table}",
+                )
+                written.append({"table_name": table, "rows": rows.get["rows"]})
+            return written
+
+        def publish_header_only() -> list[dict]:
+            records = staged.where(F.col("stage_key") == D.HEADER_ONLY)
+            decoded = decode_table(records, "header", instant, run, keep=("table_name",))
+            D.write_table(D.with_partitions(decoded, owner), f"{root}/{D.HEADER_ONLY}", by_table=True)
+            return []
+
+        def publish_malformed() -> list[dict]:
+            # Kept as found: where the frame is, what was wrong, and its bytes if it had any.
+            bad = staged.where(F.col("stage_key") == MALFORMED).select(
+                "source_file", "record_seq", "byte_offset", "error", "body", "file_hash",
+                instant.alias("ingest_ts"), F.lit(run).alias("run_id"),
             )
-            written.append({"table_name": table, "rows": rows.get["rows"]})
-        return written
-
-    def publish_header_only() -> list[dict]:
-        records = staged.where(F.col("stage_key") == D.HEADER_ONLY)
-        decoded = decode_table(records, "header", instant, run, keep=("table_name",))
-        D.write_table(D.with_partitions(decoded, owner), f"{root}/{D.HEADER_ONLY}", by_table=True)
-        return []
-
-    def publish_malformed() -> list[dict]:
-        # Kept as found: where the frame is, what was wrong, and its bytes if it had any.
-        bad = staged.where(F.col("stage_key") == MALFORMED).select(
-            "source_file", "record_seq", "byte_offset", "error", "body", "file_hash",
-            instant.alias("ingest_ts"), F.lit(run).alias("run_id"),
+            _replace_run(bad, f"{root}/{D.MALFORMED}")
+            return [{"table_name": MALFORMED, "rows": counts[MALFORMED]}]
+
+        special = {D.HEADER_ONLY: publish_header_only, MALFORMED: publish_malformed}
+        jobs = [special.get(key, lambda key=key: publish(key)) for key in counts]
+        with ThreadPoolExecutor(WRITERS) as pool:
+            rows = {r["table_name"]: r["rows"] for job in pool.map(lambda j: j(), jobs) for r in job}
+
+        audit = [
+            # the second table of a shared record must not count it twice
+            (now, table, disposition(key), n if table == tables_of(key)[0] else 0, rows[table], run)
+            for key, n in counts.items()
+            if key != D.HEADER_ONLY
+            for table in tables_of(key)
+        ]
+        headers = per_file.where(F.col("stage_key") == D.HEADER_ONLY).groupBy("table_name").agg(
+            F.sum("records").alias("records")
         )
-        _replace_run(bad, f"{root}/{D.MALFORMED}")
-        return [{"table_name": MALFORMED, "rows": counts[MALFORMED]}]
-
-    special = {D.HEADER_ONLY: publish_header_only, MALFORMED: publish_malformed}
-    jobs = [special.get(key, lambda key=key: publish(key)) for key in counts]
-    with ThreadPoolExecutor(WRITERS) as pool:
-        rows = {r["table_name"]: r["rows"] for job in pool.map(lambda j: j(), jobs) for r in job}
-
-    audit = [
-        # the second table of a shared record must not count it twice
-        (now, table, disposition(key), n if table == tables_of(key)[0] else 0, rows[table], run)
-        for key, n in counts.items()
-        if key != D.HEADER_ONLY
-        for table in tables_of(key)
-    ]
-    headers = per_file.where(F.col("stage_key") == D.HEADER_ONLY).groupBy("table_name").agg(
-        F.sum("records").alias("records")
-    )
-    result = spark.createDataFrame(audit, D.AUDIT_SCHEMA).unionByName(
-        headers.select(
-            instant.alias("ingest_ts"), "table_name", F.lit(D.HEADER_ONLY).alias("disposition"),
-            "records", F.col("records").alias("rows"), F.lit(run).alias("run_id"),
+        result = spark.createDataFrame(audit, D.AUDIT_SCHEMA).unionByName(
+            headers.select(
+                instant.alias("ingest_ts"), "table_name", F.lit(D.HEADER_ONLY).alias("disposition"),
+                "records", F.col("records").alias("rows"), F.lit(run).alias("run_id"),
+            )
         )
-    )
-    if counts:
-        _replace_run(result.coalesce(1), f"{root}/{D.AUDIT}")
-    drop_scratch(spark, scratch)
-    return D.read_audit(spark, root).where(F.col("run_id") == run) if counts else spark.createDataFrame(
-        [], D.AUDIT_SCHEMA
-    )
+        if counts:
+            _replace_run(result, f"{root}/{D.AUDIT}")
+        return D.read_audit(spark, root).where(F.col("run_id") == run) if counts else spark.createDataFrame(
+            [], D.AUDIT_SCHEMA
+        )
+    finally:
+        drop_scratch(spark, scratch)
 
 
 def _replace_run(rows: DataFrame, path: str) -> None:

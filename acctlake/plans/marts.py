@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -9,6 +11,7 @@ from acctlake.functions.numbers import rounded_sum
 from acctlake.functions.text import job_label, program_label
 from acctlake.operators.checks import assert_checks
 from acctlake.operators.mapping import dim_application
+from acctlake.sources.files import read_text, remove_tree, replace_text
 
 SECONDS = ("cpu_sec", "ziip_sec", "tcb_sec", "srb_sec", "elapsed_sec")
 
@@ -34,9 +37,11 @@ def stg_smf30(smf30: DataFrame) -> DataFrame:
 
 
 def with_application(rows: DataFrame, dim: DataFrame) -> DataFrame:
-    """Add application and group. The dimension has one row per (customer, job_name), so a hot job
-    only makes its own side large, which Spark splits at run time; a dimension that is small by its
-    measured size is broadcast and the rows stay where they are."""
+    """Add application and group; the dimension has one row per (customer, job_name).
+
+    Sums over the result whose keys hold customer and job_name would be taken where the join left the rows, and
+    Spark then cannot split a hot job: such sums join their totals instead (:func:`job_totals`).
+    """
     wanted = dim.select("customer", "job_name", "application", "app_group")
     return rows.join(wanted, ["customer", "job_name"], "left")
 
@@ -69,6 +74,40 @@ def _totals(rows: DataFrame, keys: tuple[str, ...], dim: DataFrame | None) -> Da
     return with_application(rows.groupBy(*keys).agg(*measures), dim)
 
 
+def job_totals(rows: DataFrame, keys: tuple[str, ...], dim: DataFrame | None,
+               sums: dict[str, str], runs: str) -> DataFrame:
+    """Sums per key, where keys may name ``application`` and ``app_group``.
+
+    ``sums`` maps result columns to the columns that are added up, ``runs`` names the number of rows. Rows of the fact
+    carry their application. With the dimension given, rows are added up per job first, the totals are
+    joined, and added up again by the wanted keys.
+    """
+    first = {**{name: F.sum(column).alias(name) for name, column in sums.items()},
+             runs: F.count(F.lit(1)).alias(runs)}
+    again = [F.sum(name).alias(name) for name in first]
+    if dim is None or not {"application", "app_group"} & set(keys):
+        return rows.groupBy(*keys).agg(*first.values())
+    own = [k for k in keys if k not in ("application", "app_group")]
+    per_job = rows.groupBy(*dict.fromkeys([*own, "customer", "job_name"])).agg(*first.values())
+    joined = with_application(per_job, dim)
+    if {"customer", "job_name"} <= set(own):
+        return joined.select(*keys, *first)
+    return joined.groupBy(*keys).agg(*again)
+
+
+class Planned(dict):
+    """Models as plans. Reports over them add up staged rows and join the totals; stored models keep
+    the application with each row of the fact."""
+
+    def job_rows(self) -> tuple[DataFrame, DataFrame]:
+        return self["stg_smf30"], self["dim_application"]
+
+
+def job_rows(marts: dict[str, DataFrame]) -> tuple[DataFrame, DataFrame | None]:
+    """The rows to add up per job, and the dimension if they don't carry their application."""
+    return marts.job_rows() if isinstance(marts, Planned) else (marts["fct_job_consumption"], None)
+
+
 _MEASURED = ("step_runs", *SECONDS, "excp")
 
 
@@ -104,50 +143,87 @@ def jobs_by_date_order() -> list[Column]:
     ]
 
 
-def define_marts(smf30: DataFrame, patterns: DataFrame) -> dict[str, DataFrame]:
+def define_marts(smf30: DataFrame, patterns: DataFrame) -> Planned:
     """All models as plans; nothing runs yet."""
     staged = stg_smf30(smf30)
     dim = dim_application(staged, patterns)
     fct = fct_job_consumption(staged, dim)
-    return {
-        "stg_smf30": staged,
-        "map_job_application": patterns,
-        "dim_application": dim,
-        "fct_job_consumption": fct,
-        "agg_consumption_daily": agg_consumption_daily(staged, dim),
-        "rpt_jobs_by_date": rpt_jobs_by_date(staged, dim),
-    }
+    return Planned(
+        stg_smf30=staged,
+        map_job_application=patterns,
+        dim_application=dim,
+        fct_job_consumption=fct,
+        agg_consumption_daily=agg_consumption_daily(staged, dim),
+        rpt_jobs_by_date=rpt_jobs_by_date(staged, dim),
+    )
 
 
 def build_marts(spark: SparkSession, smf30: DataFrame, patterns: DataFrame, target: str,
                 check: bool = True) -> dict[str, DataFrame]:
     """Build and store the models under ``target``, each replacing its last build.
 
-    Every table is written once and the next one reads it back: the dimension and the fact are
-    computed a single time, and the aggregates scan only the columns they need. ``target`` must
-    not hold the data ``smf30`` is read from.
+    A build is written to a folder of its own, checked there, and only then becomes the current one: the
+    name of its folder is put into ``<target>/CURRENT`` as a whole. If a check fails, the last build stays in use
+    and the failed one is removed. Every table is written once and the next one reads it back. The fact and the daily aggregate are
+    partitioned by year and month, so filters on these read only their folders.
     """
+    build = f"build-{uuid.uuid4().hex}"
 
     def stored(name: str, df: DataFrame, *partition: str) -> DataFrame:
-        path = f"{target}/{name}"
-        writer = df.write.mode("overwrite")
-        (writer.partitionBy(*partition) if partition else writer).parquet(path)
-        return spark.read.parquet(path)
+        path = f"{target}/{build}/{name}"
+        if partition:
+            # A month's rows in few files; adaptive execution splits months that are large.
+            df = df.hint("rebalance", *partition)
+        df.write.partitionBy(*partition).parquet(path)
+        return spark.read.schema(df.schema).parquet(path)
 
     staged = stg_smf30(smf30)
-    dim = stored("dim_application", dim_application(staged, patterns))
-    fct = stored("fct_job_consumption", fct_job_consumption(staged, dim))
-    models = {
-        "stg_smf30": staged,
-        "map_job_application": patterns,
-        "dim_application": dim,
-        "fct_job_consumption": fct,
-        "agg_consumption_daily": stored("agg_consumption_daily", agg_consumption_daily(fct)),
+    months = [c for c in ("year", "month") if c in staged.columns]
+    try:
+        dim = stored("dim_application", dim_application(staged, patterns))
+        fct = stored("fct_job_consumption", fct_job_consumption(staged, dim), *months)
+        daily = stored(
+            "agg_consumption_daily",
+            agg_consumption_daily(fct).withColumns(
+                {"year": F.year("smf_date"), "month": F.month("smf_date")}
+            ),
+            "year", "month",
+        )
+        stored("map_job_application", patterns)
         # range-sorted, so the files follow the report order and dates can be skipped
-        "rpt_jobs_by_date": stored(
-            "rpt_jobs_by_date", rpt_jobs_by_date(fct).orderBy(*jobs_by_date_order())
-        ),
-    }
-    if check:
-        assert_checks(models)
-    return models
+        stored("rpt_jobs_by_date", rpt_jobs_by_date(fct).orderBy(*jobs_by_date_order()))
+        if check:
+            assert_checks({
+                "stg_smf30": staged, "map_job_application": patterns, "dim_application": dim,
+                "fct_job_consumption": fct, "agg_consumption_daily": daily,
+            })
+    except BaseException:
+        remove_tree(f"{target}/{build}")
+        raise
+    last = current_build(target)
+    replace_text(f"{target}/CURRENT", build)
+    for old in {last} - {None, build}:
+        remove_tree(f"{target}/{old}")
+    return {"stg_smf30": staged, **read_marts(spark, target)}
+
+
+STORED = ("map_job_application", "dim_application", "fct_job_consumption", "agg_consumption_daily", "rpt_jobs_by_date")
+
+
+def current_build(target: str) -> str | None:
+    """The name of the build in use; None before the first."""
+    return read_text(f"{target}/CURRENT")
+
+
+def read_marts(spark: SparkSession, target: str) -> dict[str, DataFrame]:
+    """The stored models of the build in use."""
+    build = current_build(target)
+    if build is None:
+        raise ValueError(f"no marts have been built at {target}")
+
+    def stored(name: str) -> DataFrame:
+        rows = spark.read.parquet(f"{target}/{build}/{name}")
+        # directory names are read as text
+        return rows.withColumns({c: F.col(c).cast("int") for c in ("year", "month") if c in rows.columns})
+
+    return {name: stored(name) for name in STORED}

@@ -8,8 +8,9 @@ from collections.abc import Iterable
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
-from acctlake.functions.numbers import rounded_sum
-from acctlake.plans.marts import jobs_by_date_order
+from acctlake.functions.numbers import round_to, rounded_sum
+from acctlake.plans.marts import job_rows, job_totals, jobs_by_date_order
+from acctlake.session import scratch_dir
 
 
 def jobs_by_date(marts: dict[str, DataFrame]) -> DataFrame:
@@ -28,13 +29,11 @@ def consumption_daily(marts: dict[str, DataFrame]) -> DataFrame:
 
 def top_consumers(marts: dict[str, DataFrame], k: int = 100) -> DataFrame:
     keys = ("customer", "application", "job_name", "program_name")
+    rows, dim = job_rows(marts)
+    totals = job_totals(rows, keys, dim, {"total_cpu_sec": "cpu_sec", "total_excp": "excp_count"}, "runs")
     return (
-        marts["fct_job_consumption"]
-        .groupBy(*keys)
-        .agg(
-            F.count(F.lit(1)).alias("runs"),
-            rounded_sum("cpu_sec", 2).alias("total_cpu_sec"),
-            F.sum("excp_count").alias("total_excp"),
+        totals.select(
+            *keys, "runs", round_to(F.col("total_cpu_sec"), 2).alias("total_cpu_sec"), "total_excp"
         )
         .orderBy(F.desc_nulls_last("total_cpu_sec"), *[F.asc_nulls_last(c) for c in keys])
         .limit(k)
@@ -74,7 +73,10 @@ def metric_by_dimension(table: DataFrame, dimension: str = "application",
         .agg(F.sum(metric).alias("v"))
         .where("v > 0")
     )
-    # A scalar subquery, not a window over everything: the totals stay spread over their tasks.
+    # One row per value, written once: the sum of all and the shares read this, not the whole table twice.
+    spark, path = table.sparkSession, scratch_dir(table.sparkSession, "totals")
+    totals.write.parquet(path)
+    totals = spark.read.schema(totals.schema).parquet(path)
     whole = totals.agg(F.sum("v")).scalar()
     return totals.select("k", "v", (F.col("v") / whole).alias("share")).orderBy(
         F.desc_nulls_last("v"), F.asc_nulls_last("k")
@@ -84,12 +86,16 @@ def metric_by_dimension(table: DataFrame, dimension: str = "application",
 DRILL_PATH = ("customer", "application", "job_name", "step_name")
 
 
-def drill(fct: DataFrame, levels: Iterable[str] = DRILL_PATH, customer: str | None = None,
+def drill(rows: DataFrame, levels: Iterable[str] = DRILL_PATH, customer: str | None = None,
           system_id: str | None = None, first: dt.date | None = None,
-          last: dt.date | None = None) -> DataFrame:
-    """Consumption along the path customer, application, job, step, down to any depth."""
+          last: dt.date | None = None, dim: DataFrame | None = None) -> DataFrame:
+    """Consumption along the path customer, application, job, step, down to any depth.
+
+    ``rows`` is the fact, or staged rows with the dimension given beside them.
+    """
     levels = list(levels)
-    _known(fct, *levels)
+    known = rows if dim is None else rows.withColumns({"application": F.lit(""), "app_group": F.lit("")})
+    _known(known, *levels)
     conditions: list[Column] = []
     if customer is not None:
         conditions.append(F.col("customer") == customer)
@@ -100,13 +106,14 @@ def drill(fct: DataFrame, levels: Iterable[str] = DRILL_PATH, customer: str | No
     if last is not None:
         conditions.append(F.col("smf_date") <= F.lit(last))
     for condition in conditions:
-        fct = fct.where(condition)
-    return fct.groupBy(*levels).agg(
-        F.count(F.lit(1)).alias("step_runs"),
-        rounded_sum("cpu_sec", 2).alias("cpu_sec"),
-        rounded_sum("ziip_sec", 2).alias("ziip_sec"),
-        rounded_sum("elapsed_sec", 2).alias("elapsed_sec"),
-        F.sum("excp_count").alias("excp"),
+        rows = rows.where(condition)
+    totals = job_totals(
+        rows, tuple(levels), dim,
+        {"cpu_sec": "cpu_sec", "ziip_sec": "ziip_sec", "elapsed_sec": "elapsed_sec", "excp": "excp_count"}, "step_runs",
+    )
+    return totals.select(
+        *levels, "step_runs",
+        *[round_to(F.col(c), 2).alias(c) for c in ("cpu_sec", "ziip_sec", "elapsed_sec")], "excp",
     ).orderBy(F.desc_nulls_last("cpu_sec"), *[F.asc_nulls_last(c) for c in levels])
 
 

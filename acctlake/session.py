@@ -7,7 +7,7 @@ import uuid
 
 from pyspark.sql import SparkSession
 
-from acctlake.sources.files import locate
+from acctlake.sources.files import remove_tree
 
 #: Settings every job of this package assumes; pass them to ``spark-submit`` or the builder.
 SETTINGS = {
@@ -61,5 +61,4 @@ def drop_scratch(spark: SparkSession, path: str) -> None:
     """Remove a folder made by :func:`scratch_dir`; anything else is refused."""
     if not path.startswith(scratch_root(spark) + "/"):
         raise ValueError(f"{path} is not a scratch folder")
-    filesystem, inner = locate(path)
-    filesystem.delete_dir(inner)
+    remove_tree(path)

@@ -187,7 +187,8 @@ def union_by_name(parts: list[DataFrame]) -> DataFrame:
 
 
 def create_views(spark: SparkSession, root: str | None = None) -> list[str]:
-    """A temporary view per record type the dataset holds; returns their names."""
+    """A temporary view per record type and one per table of the dataset (``smf74-2p`` is written with backquotes in
+    SQL); returns their names."""
     root = default_root(spark, root)
     present = tables_present(root)
     made = []
@@ -195,6 +196,9 @@ def create_views(spark: SparkSession, root: str | None = None) -> list[str]:
         if any(t == view or t.startswith(f"{view}-") for t in present):
             read_type(spark, root, view).createOrReplaceTempView(view)
             made.append(view)
+    for table in sorted(t for t in present if t in L.BY_TABLE and t not in made):
+        read_table(spark, root, table).createOrReplaceTempView(f"`{table}`")
+        made.append(table)
     return made
 
 

@@ -159,3 +159,112 @@ def test_build_marts_twice(spark, sf_dir, tmp_path):
     with pytest.raises(ValueError, match="app_key|job_pattern"):
         doubled = seed(spark).unionByName(seed(spark))
         marts.build_marts(spark, acct(spark, sf_dir), doubled, str(tmp_path / "bad"))
+
+
+def test_a_failed_check_leaves_the_last_build(spark, sf_dir, tmp_path):
+    target = str(tmp_path / "marts")
+    marts.build_marts(spark, acct(spark, sf_dir), seed(spark), target)
+    before = marts.read_marts(spark, target)["dim_application"].count()
+    with pytest.raises(ValueError, match="job_pattern"):
+        marts.build_marts(spark, acct(spark, sf_dir), seed(spark).unionByName(seed(spark)), target)
+    again = marts.read_marts(spark, target)
+    assert again["dim_application"].count() == before
+    assert len([p for p in (tmp_path / "marts").iterdir() if p.name.startswith("build-")]) == 1
+    fact = again["fct_job_consumption"]
+    assert "PartitionFilters: [isnotnull(year" in fact.where("year = 1996")._jdf.queryExecution().toString()
+    assert fact.where("year = 1996").count() == acct(spark, sf_dir).where("year = 1996").count()
+
+
+def test_nothing_built(spark, tmp_path):
+    with pytest.raises(ValueError, match="no marts"):
+        marts.read_marts(spark, str(tmp_path))
+
+
+def joined_then_summed(plan):
+    """Whether a sort-merge join feeds an aggregate without an exchange between."""
+    lines, wrong = plan.splitlines(), False
+    for n, line in enumerate(lines):
+        if "SortMergeJoin" in line:
+            for above in reversed(lines[:n]):
+                if "Exchange" in above:
+                    break
+                wrong |= "HashAggregate" in above and above.index("HashAggregate") < line.index("SortMergeJoin")
+    return wrong
+
+
+@pytest.mark.parametrize("depth", [1, 2, 3, 4])
+def test_hot_jobs_are_added_up_before_the_join(spark, sf_dir, depth):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        planned = marts.define_marts(
+            spark.createDataFrame(acct(spark, sf_dir).limit(50).collect(), acct(spark, sf_dir).schema), seed(spark)
+        )
+        rows, dim = marts.job_rows(planned)
+        report = reports.drill(rows, reports.DRILL_PATH[:depth], dim=dim)
+        top = reports.top_consumers(planned)
+        for df in (report, top):
+            text = df._jdf.queryExecution().sparkPlan().toString()
+            joins = [i for i, x in enumerate(text.splitlines()) if "Join" in x and "LeftOuter" in x]
+            below = "\n".join(text.splitlines()[joins[0]:]) if joins else "Aggregate"
+            assert "Aggregate" in below
+        fact = planned["fct_job_consumption"]
+        assert sorted(map(str, report.collect())) == sorted(map(str, reports.drill(fact, reports.DRILL_PATH[:depth]).collect()))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_each_heavy_input_is_planned_at_most_twice(spark, sf_dir):
+    models = marts.define_marts(acct(spark, sf_dir), seed(spark))
+
+    def scans(df):
+        return df._jdf.queryExecution().sparkPlan().toString().count("lineitem.parquet")
+
+    assert scans(models["fct_job_consumption"]) <= 2
+    assert scans(models["dim_application"]) == 1
+    assert scans(checks.check_model("dim_application", models["dim_application"])) == 1
+    assert scans(reports.metric_by_dimension(models["agg_consumption_daily"])) == 0  # totals are a written table
+
+
+def test_missing_names_have_a_label(spark):
+    row = acct_row(job_name=None, program_name=None)
+    frame = spark.createDataFrame([row, acct_row(job_name="", program_name="")])
+    from acctlake.plans import queries
+
+    shown = queries.jobs_per_date(frame.drop("subsystem_id")).collect()
+    assert {(r.job_name, r.program_name) for r in shown} == {("(no job name)", "(none)")}
+    models = marts.define_marts(frame, seed(spark))
+    report = models["rpt_jobs_by_date"].collect()
+    assert {(r.job_label, r.program_name, r.application) for r in report} == {("(no job name)", "(none)", mapping.UNMAPPED)}
+    assert sum(r.step_runs for r in report) == 2
+
+
+def acct_row(**more):
+    day = dt.date(2024, 2, 3)
+    return {
+        "customer": "C", "job_name": "J", "step_name": "S", "job_id": "JOB1", "program_name": "P",
+        "smf_timestamp": dt.datetime(2024, 2, 3), "smf_date": day, "system_id": "SYS1", "subsystem_id": "JES2",
+        "cpu_sec": 1.0, "tcb_sec": 1.0, "srb_sec": 0.5, "ziip_sec": 0.0, "elapsed_sec": 2.0, "excp_count": 3,
+        "year": 2024, "month": 2, "source_file": "f", **more,
+    }
+
+
+def test_reports_are_in_order(spark, sf_dir):
+    from acctlake.plans import queries
+
+    jobs = acct(spark, sf_dir)
+    models = marts.define_marts(jobs, seed(spark))
+
+    def key(row, *columns):
+        # (column, descending): missing values last either way
+        return tuple((row[c] is None, (-row[c] if down else row[c]) if row[c] is not None else 0) for c, down in columns)
+
+    day, cpu, system, job = ("smf_date", False), ("cpu_sec", True), ("system_id", False), ("job_name", False)
+    for report, order in (
+        (reports.jobs_by_date(models), (day, system, cpu)),
+        (reports.consumption_daily(models), (day, cpu)),
+        (reports.consumption_by_application(models), (cpu,)),
+        (reports.drill(models["fct_job_consumption"]), (cpu,)),
+        (queries.coverage(jobs), (day, system)),
+    ):
+        rows = [key(r, *order) for r in report.collect()]
+        assert len(rows) > 1 and rows == sorted(rows)
