@@ -1,8 +1,8 @@
 """Turn routed records into the rows of one table, driven by its layout.
 
-Everything is built-in column expressions. Repeated sections become rows by exploding the entry
-numbers, not the entries: fields are cut straight out of the record, so no per-entry copies are
-made and the plan stays narrow (no shuffle from record to row).
+Headers and values of the whole record are built-in column expressions, computed once per record. Repeated
+sections become rows in :mod:`acctlake.operators.entries`; the record itself is not handed on, so rows stay
+narrow. There is no shuffle from record to row.
 """
 
 from __future__ import annotations
@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from acctlake.functions import binary as B
 from acctlake.operators import layouts as L
+from acctlake.operators.entries import section_rows
 from acctlake.operators.sections import (
     Section,
     directory_entry,
@@ -126,14 +127,6 @@ def sections_of(records: DataFrame, layout: L.Layout) -> DataFrame:
     )
 
 
-def explode_entries(records: DataFrame) -> DataFrame:
-    """One row per entry of the section in ``_row``; the entry number becomes ``_entry``.
-
-    A record that has no entries gives no rows.
-    """
-    return records.withColumn("_entry", F.explode(_entry_numbers(F.col("_row.count"))))
-
-
 def _record_values(layout: L.Layout, body: Column) -> list[Column]:
     """Interval columns and the fields of sections that have one entry per record."""
     values: dict[str, Column] = {}
@@ -177,26 +170,11 @@ def decode_table(records: DataFrame, table: str, ingest_ts: Column | None = None
         # Values of the whole record first: once per record, however many entries follow.
         kept = kept.select("*", *_record_values(layout, body))
         if layout.rows is not None:
-            kept = explode_entries(kept)
+            fields = tuple(f for f in layout.fields if f.section == "row")
+            kept = section_rows(kept, fields, layout.valid_bit)
             entry_seq = F.col("_entry").cast("int")
-            # Entry bounds are shared by all its fields: fix them once.
-            row = section_column("_row")
-            kept = kept.select(
-                "*",
-                row.entry_start(F.col("_entry")).alias("_start"),
-                row.entry_end(body, F.col("_entry")).alias("_end"),
-            )
-            if layout.valid_bit is not None:
-                position, mask = layout.valid_bit
-                flags = B.uint(body, F.col("_start") + F.lit(position), 1, F.col("_end"))
-                kept = kept.where(B.bit_set(flags, mask))
         values |= {name: F.col(name) for name in layout.interval}
-        for f in layout.fields:
-            values[f.name] = (
-                _read(f.kind, body, F.col("_start"), f, F.col("_end"))
-                if f.section == "row"
-                else F.col(f.name)
-            )
+        values |= {f.name: F.col(f.name) for f in layout.fields}
 
     return kept.select(
         *_HEADER,

@@ -79,7 +79,7 @@ START, SPAN, SAMPLES, PLEX = "interval_start_ts", "interval_ms", "sample_count",
 PRODUCT = {"time": 9, "date": 13, "interval": 17, "samples": 21, "sysplex": 40, "sysplex_width": 8}
 
 #: Entry of the processor section: wait time, parked time, processor type code and the two codes
-#: that are reported. Parked time has no known position yet: None reads as 0.
+#: that are reported. Parked time has no known position yet and reads as NULL.
 CPU_ENTRY = {"wait": 0, "parked": None, "type": 13, "general": 0, "ziip": 2}
 
 _COMMON_1154 = _fields(
