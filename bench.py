@@ -10,10 +10,13 @@ import time
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from pyspark.sql import DataFrame  # noqa: E402
+from pyspark.sql import functions as F  # noqa: E402
 
 from acctlake.fixtures import trial as T  # noqa: E402
 from acctlake.fixtures.accounts import acct, seed  # noqa: E402
 from acctlake.fixtures.catalog import QUERIES  # noqa: E402
+from acctlake.operators import layouts as L  # noqa: E402
+from acctlake.operators.decode import decode_table  # noqa: E402
 from acctlake.plans import marts as M  # noqa: E402
 from acctlake.plans.ingest import ingest  # noqa: E402
 from acctlake.session import build_session, scratch_dir  # noqa: E402
@@ -37,6 +40,25 @@ def run(df: DataFrame) -> None:
     df.write.format("noop").mode("overwrite").save()
 
 
+def large_records(spark, entries: int, total: int = 440_000):
+    """Routed device records with ``entries`` entries each; all sizes hold equally many entries."""
+    layout = L.BY_TABLE["smf74-1"]
+    width = max(f.offset + (f.width or 8) for f in layout.fields if f.section == "row")
+    at = layout.directory + 12 * (max(*layout.sections, layout.rows) + 1)
+    directory = {s: F.lit("00" * 12) for s in range(max(*layout.sections, layout.rows) + 1)}
+    directory[layout.rows] = F.lit(f"{at:08X}{width:08X}{entries:08X}")
+    one = F.lpad(F.hex("id"), 2 * width, "0")
+    body = F.unhex(F.concat(F.lit("00" * layout.directory), *directory.values(), F.repeat(one, entries)))
+    names = [c for c in L.COMMON_COLUMNS if c != "ingest_ts"]
+    rows = spark.range(total // entries).select(
+        *[F.lit(None).cast(L.COMMON_COLUMNS[c]).alias(c) for c in names],
+        F.col("id").alias("record_seq"), F.lit("x").alias("file_hash"), body.alias("body"),
+    )
+    path = scratch_dir(spark, f"records-{entries}")
+    rows.write.parquet(path)
+    return spark.read.parquet(path)
+
+
 def main() -> None:
     spark = build_session(
         "bench",
@@ -64,6 +86,9 @@ def main() -> None:
         timed(name, lambda: run(QUERIES[name](spark, SF_DIR)))
     timed("build_marts", lambda: M.build_marts(
         spark, acct(spark, SF_DIR), seed(spark), scratch_dir(spark, "marts")))
+    for entries in (10, 400):
+        records = large_records(spark, entries)
+        timed(f"decode_{entries}_entries_a_record", lambda: run(decode_table(records, "smf74-1")))
     logs = [T.table_log(spark, SF_DIR, t) for t in ("smf30", "smf72-3")]
     timed("ingest", lambda: ingest(spark, logs, scratch_dir(spark, "lake")))
     print(json.dumps({
