@@ -953,7 +953,7 @@ def _(spark, sf_dir):
     log, root = T.table_log(spark, sf_dir, "smf30"), scratch_dir(spark, "lake")
     for run in ("R1", "R2"):
         ingest(spark, log, root, run_id=run)
-    rows = latest_copies(D.read_type(spark, root, "smf30"))
+    rows = latest_copies(D.read_type(spark, root, "smf30"), D.read_files(spark, root))
     return rows.select("excp_count", (F.col("run_id") == "R2").alias("latest"))
 
 

@@ -63,10 +63,11 @@ def account(staged: DataFrame, files: DataFrame, path: str) -> DataFrame:
         F.sum("record_seq").cast("decimal(38,0)").alias("seq_sum"),
         F.sum(F.length("body") + F.lit(PREFIX)).alias("bytes"),
         F.max(F.when(F.col("body").isNull(), F.col("byte_offset"))).alias("broken_at"),
+        F.max("file_hash").alias("file_hash"),
     ).write.mode("overwrite").parquet(path)
     per_file = spark.read.schema(
         "source_file string, stage_key string, table_name string, records bigint, first_seq bigint, last_seq bigint, "
-        "seq_sum decimal(38,0), bytes bigint, broken_at bigint"
+        "seq_sum decimal(38,0), bytes bigint, broken_at bigint, file_hash string"
     ).parquet(path)
     found = per_file.groupBy("source_file").agg(
         F.sum("records").alias("records"), F.min("first_seq").alias("first"), F.max("last_seq").alias("last"),
@@ -174,6 +175,16 @@ def ingest_files(files: DataFrame, root: str, customer: str = DEFAULT_CUSTOMER,
         )
         if counts:
             _replace_run(result, f"{root}/{D.AUDIT}")
+            # Last: a file counts as ingested when all its tables are there.
+            inputs = per_file.groupBy("source_file").agg(
+                F.max("file_hash").alias("file_hash"), F.sum("records").alias("records")
+            )
+            _replace_run(
+                inputs.select(
+                    instant.alias("ingest_ts"), "source_file", "file_hash", "records", F.lit(run).alias("run_id")
+                ),
+                f"{root}/{D.FILES}",
+            )
         return D.read_audit(spark, root).where(F.col("run_id") == run) if counts else spark.createDataFrame(
             [], D.AUDIT_SCHEMA
         )

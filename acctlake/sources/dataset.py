@@ -19,8 +19,9 @@ from acctlake.sources.files import locate
 
 PARTITIONS = ("customer", "path_system_id", "year", "month", "run_id")
 HEADER_ONLY = "header_only"
-#: Beside the tables: damaged frames, and the account of every run.
-MALFORMED, AUDIT = "malformed", "audit"
+#: Beside the tables: damaged frames, and the accounts of every run by table and by input file.
+MALFORMED, AUDIT, FILES = "malformed", "audit", "files"
+FILES_SCHEMA = "ingest_ts timestamp, source_file string, file_hash string, records bigint, run_id string"
 AUDIT_SCHEMA = (
     "ingest_ts timestamp, table_name string, disposition string, records bigint, rows bigint, "
     "run_id string"
@@ -127,45 +128,84 @@ def _stored_schema(table: str, by_table: bool) -> str:
     return ", ".join(columns)
 
 
-def read_table(spark: SparkSession, root: str, table: str, merge_schema: bool = False) -> DataFrame:
+def _folder(value: str | int | None, key: str) -> str:
+    """The folder of a value, or a pattern for all of them."""
+    if value is None:
+        return f"{key}=*"
+    text = f"{value:02d}" if isinstance(value, int) else value
+    # characters that mean something in a pattern stand for themselves
+    return f"{key}=" + "".join(f"\\{c}" if c in "*?[]{}\\" else c for c in text)
+
+
+def read_table(spark: SparkSession, root: str, table: str, merge_schema: bool = False,
+               customer: str | None = None, system: str | None = None,
+               year: int | None = None, month: int | None = None) -> DataFrame:
     """One table across customers, systems, months and runs.
 
     The known schema is used: files from before a column was added read as NULL there, no footer is
     opened to plan the query, and filters on the directory columns prune folders.
     ``merge_schema`` looks at every file instead, to see columns this version does not know.
+
+    A filter prunes after all folders were listed. ``customer``, ``system``, ``year`` and ``month`` (as the folders are
+    named) choose folders before that: only the chosen ones are listed. No such folder gives no rows.
     """
     by_table = table not in L.BY_TABLE and table != "raw"
     path = f"{root}/{HEADER_ONLY}" if by_table else f"{root}/{table}"
+    chosen = {"customer": customer, "path_system_id": system, "year": year, "month": month}
+    reader = spark.read
+    if any(v is not None for v in chosen.values()):
+        base, parts = path, [f"table_name={table}"] if by_table else []
+        parts += [_folder(v, k) for k, v in chosen.items()]
+        while parts[-1].endswith("=*"):
+            parts.pop()
+        path = "/".join([base, *parts])
+        schema = _stored_schema(table, by_table)
+        if not _any_match(spark, path):
+            rows = spark.createDataFrame([], schema)
+            return rows.drop("table_name") if by_table else rows
+        reader = reader.option("basePath", base)
     if merge_schema:
-        found = spark.read.option("mergeSchema", True).parquet(path).schema
+        found = reader.option("mergeSchema", True).parquet(path).schema
         # directory names stay text, whatever they look like
         names = (*PARTITIONS, "table_name")
         kept = T.StructType(
             [T.StructField(f.name, T.StringType()) if f.name in names else f for f in found]
         )
-        rows = spark.read.schema(kept).parquet(path)
+        rows = reader.schema(kept).parquet(path)
     else:
-        rows = spark.read.schema(_stored_schema(table, by_table)).parquet(path)
+        rows = reader.schema(_stored_schema(table, by_table)).parquet(path)
     if by_table:
         rows = rows.where(F.col("table_name") == table).drop("table_name")
     return rows
 
 
+def _any_match(spark: SparkSession, pattern: str) -> bool:
+    """Whether a folder pattern matches anything, asked of the file system that Spark reads from."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(pattern)
+    found = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(path)
+    return found is not None and len(found) > 0
+
+
 def read_audit(spark: SparkSession, root: str) -> DataFrame:
     """Per run and table: what became of the records, how many there were, how many rows they gave."""
     return spark.read.schema(AUDIT_SCHEMA).parquet(f"{root}/{AUDIT}")
 
 
+def read_files(spark: SparkSession, root: str) -> DataFrame:
+    """Per run and input file: its content hash and how many records were read."""
+    return spark.read.schema(FILES_SCHEMA).parquet(f"{root}/{FILES}")
+
+
 def read_malformed(spark: SparkSession, root: str) -> DataFrame:
     """Frames that could not be used: where they are, what was wrong, and their bytes if any."""
     return spark.read.schema(MALFORMED_SCHEMA).parquet(f"{root}/{MALFORMED}")
 
 
 def read_type(spark: SparkSession, root: str | None, record_type: str,
-              merge_schema: bool = False) -> DataFrame:
+              merge_schema: bool = False, **folders) -> DataFrame:
     """All rows of a record type (``smf30``, ``smf74``, ``raw``): its subtype tables united by name.
 
-    A full table name (``smf74-1``) reads just that table.
+    A full table name (``smf74-1``) reads just that table. ``folders`` are the choices of :func:`read_table`.
     """
     root = default_root(spark, root)
     present = tables_present(root)
@@ -175,7 +215,7 @@ def read_type(spark: SparkSession, root: str | None, record_type: str,
         wanted = [t for t in present if t.rstrip("pm") == record_type]
     if not wanted:
         raise ValueError(f"the dataset has no rows of {record_type}")
-    return union_by_name([read_table(spark, root, t, merge_schema) for t in wanted])
+    return union_by_name([read_table(spark, root, t, merge_schema, **folders) for t in wanted])
 
 
 def union_by_name(parts: list[DataFrame]) -> DataFrame:

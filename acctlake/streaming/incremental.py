@@ -58,17 +58,14 @@ def ingest_stream(spark: SparkSession, folder: str, root: str, checkpoint: str,
     return writer.trigger(**trigger).start()
 
 
-def latest_copies(rows: DataFrame) -> DataFrame:
+def latest_copies(rows: DataFrame, files: DataFrame) -> DataFrame:
     """Rows of each input file once, though the file was ingested several times.
 
-    A file is recognised by its content, so a renamed copy counts as the same. Repetition happens
-    a whole file at a time: one row per copy decides which one is kept (the latest ingest), and
-    the rows themselves are only filtered, never grouped.
+    A file is recognised by its content, so a renamed copy counts as the same; the latest ingest is kept. ``files`` is the
+    account of input files (:func:`acctlake.sources.dataset.read_files`): one row per file decides, and the rows themselves are only
+    filtered, never grouped. Rows of a run that did not end are not in the account and stay out.
     """
-    copies = rows.groupBy("file_hash", "run_id", "source_file").agg(
-        F.max("ingest_ts").alias("ingest_ts")
-    )
-    kept = copies.groupBy("file_hash").agg(
+    kept = files.groupBy("file_hash").agg(
         F.max(F.struct("ingest_ts", "run_id", "source_file")).alias("kept")
     ).select("file_hash", F.col("kept.run_id").alias("run_id"),
              F.col("kept.source_file").alias("source_file"))

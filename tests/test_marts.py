@@ -108,7 +108,7 @@ def test_stream_takes_each_file_once_and_copies_are_recognised(spark, tmp_path):
     assert arrive("b.bin", framed(finish(header(30, 4, time=300)))).count() == 3
     again = arrive("copy-of-a.bin", one)
     assert again.count() == 5
-    assert latest_copies(again).count() == 3
+    assert latest_copies(again, D.read_files(spark, root)).count() == 3
 
 
 def test_late_and_straddling_rows_go_to_their_own_month(spark, tmp_path):
@@ -136,6 +136,25 @@ def test_files_from_before_a_column_was_added(spark, tmp_path):
         ("A", None, "0007", "04"), ("B", 3, "0007", "04")]
 
 
+def test_chosen_folders_are_the_only_ones_listed(spark, tmp_path):
+    for customer, year, month in (("A", "2024", "01"), ("A", "2024", "12"), ("A", "2025", "01"), ("B{1}", "2024", "01")):
+        folder = tmp_path / "smf30" / f"customer={customer}" / "path_system_id=S" / f"year={year}" / f"month={month}" / "run_id=R"
+        folder.mkdir(parents=True)
+        pq.write_table(pa.table({"job_name": [f"{customer}{year}{month}"]}), folder / "a.parquet")
+
+    def names(**chosen):
+        rows = D.read_table(spark, str(tmp_path), "smf30", **chosen)
+        found = sorted(r.job_name for r in rows.collect())
+        assert len(rows.inputFiles()) == len(found)
+        return found
+
+    assert names(year=2024) == ["A202401", "A202412", "B{1}202401"]
+    assert names(customer="A", month=1) == ["A202401", "A202501"]
+    assert names(customer="B{1}") == ["B{1}202401"]
+    assert names(customer="B*") == names(year=1999) == []
+    assert D.read_type(spark, str(tmp_path), "smf30", customer="A", year=2025).first().month == "01"
+
+
 def test_dataset_root_comes_from_the_session(spark, tmp_path):
     with pytest.raises(ValueError, match="no dataset root"):
         D.default_root(spark)
