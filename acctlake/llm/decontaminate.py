@@ -46,8 +46,8 @@ SHORT_MASKS = ((0, 1, 2, 4), (0, 1, 2, 3), (0, 1, 3, 4), (0, 2, 3, 4))
 MASKS = LONG_MASKS + SHORT_MASKS
 #: Words kept on either side of a hit: a window that holds the hit lies within.
 CONTEXT = WINDOW + 8
-#: Bits of the table of benchmark hashes: 32 for each hash, between these powers of two.
-BIT_POWERS = (16, 26)
+#: Bits of the table of benchmark hashes: 256 for each hash, between these powers of two.
+BITS_PER_HASH, BIT_POWERS = 256, (16, 26)
 #: Word hashes that a task remembers.
 REMEMBERED = 500_000
 
@@ -128,18 +128,20 @@ def item_seeds(items: DataFrame) -> DataFrame:
 
 
 def bit_table(item_seeds: DataFrame) -> tuple[int, np.ndarray]:
-    """The low bits of all hashes as a set: number of bits (a power of two), and the table as bytes."""
+    """Two numbers of each hash, its low bits and those above bit 32, as a set: their bits, and the table as bytes."""
     count = item_seeds.count()
-    power = min(max(math.ceil(math.log2(32 * max(1, count))), BIT_POWERS[0]), BIT_POWERS[1])
-    low = F.col("hash").bitwiseAND(F.lit((1 << power) - 1))
-    # At most 2 ** 20 rows, whatever the size of the benchmark.
+    power = min(max(math.ceil(math.log2(BITS_PER_HASH * max(1, count))), BIT_POWERS[0]), BIT_POWERS[1])
+    low = F.lit((1 << power) - 1)
+    probes = F.array(F.col("hash").bitwiseAND(low), F.shiftrightunsigned("hash", 32).bitwiseAND(low))
+    # At most 2 ** 20 rows of two numbers, whatever the size of the benchmark.
     packed = (
-        item_seeds.select(F.shiftright(low, 6).alias("word"), F.expr("shiftleft(1L, cast(hash & 63 as int))").alias("bit"))
+        item_seeds.select(F.explode(probes).alias("at"))
+        .select(F.shiftright("at", 6).alias("word"), F.expr("shiftleft(1L, cast(at & 63 as int))").alias("bit"))
         .groupBy("word").agg(F.bit_or("bit").alias("bits"))
+        .toPandas()
     )
     table = np.zeros((1 << power) // 64, np.int64)
-    for row in packed.toLocalIterator():
-        table[row["word"]] = row["bits"]
+    table[packed["word"].to_numpy(np.int64)] = packed["bits"].to_numpy(np.int64)
     return power, table.view(np.uint8)
 
 
@@ -149,12 +151,15 @@ def hit_clusters(docs: DataFrame, item_seeds: DataFrame, doc_id: str = "doc_id",
     used = sorted(r["mask"] for r in item_seeds.select("mask").distinct().collect())
     low = np.uint64((1 << power) - 1)
 
+    def is_set(at: np.ndarray) -> np.ndarray:
+        # Bit k of a little-endian 64-bit word is bit k % 8 of its byte k // 8.
+        return table[(at >> np.uint64(3)).astype(np.int64)] >> (at & np.uint64(7)).astype(np.uint8) & 1
+
     def hits(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         places, masks, values = [], [], []
         for m, hashes in seeds(ids, used):
-            at = hashes & low
-            # Bit k of a little-endian 64-bit word is bit k % 8 of its byte k // 8.
-            hit = np.flatnonzero(table[(at >> np.uint64(3)).astype(np.int64)] >> (at & np.uint64(7)).astype(np.uint8) & 1)
+            hit = np.flatnonzero(is_set(hashes & low))
+            hit = hit[is_set(hashes[hit] >> np.uint64(32) & low) != 0]
             places.append(hit)
             masks.append(np.full(len(hit), m))
             values.append(hashes[hit])
