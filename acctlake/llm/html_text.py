@@ -59,10 +59,12 @@ VOID_TAGS = frozenset("area base br col embed hr img input link meta param sourc
 # Words in class names, ids and roles of such parts.
 OUT_NAMES = frozenset(
     "ad ads adv advert adverts advertisement advertising adsense sponsor sponsored promo promotion banner cookie cookies consent gdpr notice"
-    " alert popup modal overlay sidebar aside nav navbar navigation menu breadcrumb breadcrumbs header masthead topbar footer comment"
+    " notices alert popup modal overlay sidebar aside nav navbar navigation menu breadcrumb breadcrumbs header masthead topbar footer comment"
     " comments respond replies disqus discussion share sharing social related recommended newsletter subscribe signup login search"
     " pagination pager widget toolbar contentinfo complementary copyright legal disclaimer".split()
 )
+# The head of an article is part of it, whatever it is named.
+ARTICLE_NAMES = frozenset(("article", "entry", "post", "story"))
 # Names that begin with one of these say what a part has or lacks.
 BESIDE = frozenset(("no", "has", "with", "without", "is", "not", "hide", "show"))
 
@@ -99,6 +101,8 @@ def marked_out(tag: str, attributes: str) -> bool:
         if name in ("class", "id", "role"):
             for word in value.split():
                 parts = [p for p in re.split(r"[-_:]+", word) if p]
+                if parts and parts[0] in ARTICLE_NAMES and parts[-1] in ("header", "banner"):
+                    continue
                 if parts and parts[0] not in BESIDE and (parts[0] in OUT_NAMES or parts[-1] in OUT_NAMES):
                     # The article itself may be named after its place, but not after comments.
                     if tag not in ("article", "main") or parts[0].startswith(("comment", "repl")):
