@@ -115,7 +115,9 @@ def test_ingest_accounts_for_everything(spark, tmp_path):
     assert jobs.where("path_system_id = '0001'").count() == 2
     bad = {r.error: r.byte_offset for r in D.read_malformed(spark, root).collect()}
     assert set(bad) == {"short record", "cut off"}
-    assert set(D.create_views(spark, root)) == {"smf30", "smf72", "smf74", "raw"}
+    # a view per type, and one per table whose name is longer
+    assert set(D.create_views(spark, root)) == {"smf30", "smf72", "smf74", "smf74-1", "raw"}
+    assert spark.sql("select * from `smf74-1`").count() == D.read_table(spark, root, "smf74-1").count()
     assert spark.table("smf72").first().subtype == 1
     assert D.read_audit(spark, root).count() == 5
 
