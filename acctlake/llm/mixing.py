@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from acctlake.llm.common import slices, stage, word_count
 
 #: Documents of one source that are sorted together, and entries of one bin of virtual time.
-ROWS_PER_CUT = 50_000
+ROWS_PER_CUT = 4096
 #: Hexadecimal digits of the shuffle key that choose a cut; at most 16 ** 6 cuts a source.
 CUT_DIGITS = 6
 
