@@ -158,7 +158,9 @@ def later_copies(docs: DataFrame, min_words: int = MIN_WORDS, doc_id: str = "doc
     intervals = stage(intervals.select(*DOC, "seq", *key), "intervals")
     place = F.struct(*DOC, "seq")
     first = intervals.groupBy(*key).agg(F.min(place).alias("kept"), F.max(place).alias("other")).where("kept < other")
-    later = intervals.join(first.drop("other"), key).where(place > F.col("kept"))
+    # Written, so that the join shuffles both sides for itself and can split an interval that has very many suffixes.
+    first = stage(first.drop("other"), "first")
+    later = intervals.join(first, key).where(place > F.col("kept"))
     deleted = later.select(*DOC, F.explode(F.expr("sequence(seq, seq + length - 1)")).alias("seq")).distinct()
     return _lookup(deleted, "seq", level0.select(*DOC, "seq", "pos")).select(*DOC, "pos")
 
