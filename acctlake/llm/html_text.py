@@ -2,9 +2,11 @@
 
 A page is cut into blocks at block-level tags. The first pass decides blocks by themselves: parts that a page
 marks as not being the article (menus, headers, footers, asides, forms, scripts, adverts, notices, reader comments, hidden
-parts) and blocks made of links are out; blocks of an ``article`` or ``main`` element are in, and where a page has none, blocks
-that are long and have a normal share of stop words are in, long ones without are out. Short blocks are left open. The second pass gives each open
-block the label of the nearest decided block (equally near ones: a heading that of the block after it, others are in if one of the two is).
+parts) and blocks made of links are out; blocks that are long and have a normal share of stop words are in, long ones without are out.
+Within an ``article`` or ``main`` element a lower share is enough and none puts a block out. Short blocks are left open. The second pass gives each open
+block the label of the nearest decided block on its side, within such elements or outside of all (equally near ones: a heading that of the block after it,
+others are in if one of the two is). Where no block within is decided, those within are in unless the text that is in outside is longer;
+outside, open blocks of a page with such elements are then out. An article in a part that is out is out too, unless only a form holds it.
 
 Scale. One narrow pass over whole pages in Arrow batches, no shuffle; memory is bounded by the longest page.
 
@@ -32,6 +34,8 @@ SHORT = 70
 MAX_LINKS = 0.5
 #: A long block with at least this share of stop words is in, with less than the second it is out.
 STOP_HIGH, STOP_LOW = 0.25, 0.12
+#: The first of them within an article or main element.
+STOP_INSIDE = 0.12
 
 # Frequent words of the languages that are told apart by stop words.
 STOP_WORDS = frozenset(
@@ -114,8 +118,8 @@ def blocks(page: str) -> list[Block]:
     """The blocks of a page in order; blank ones are left out."""
     found: list[Block] = []
     parts: list[tuple[str, bool]] = []
-    # Open elements: tag, whether out, whether inside an article, whether a link.
-    stack: list[tuple[str, bool, bool]] = [("", False, False)]
+    # Open elements: tag, whether out (1: only by a form), whether inside an article.
+    stack: list[tuple[str, int, bool]] = [("", 0, False)]
     links = 0
     heading = False
 
@@ -125,7 +129,7 @@ def blocks(page: str) -> list[Block]:
         if text:
             linked = len(" ".join("".join(t for t, is_link in parts if is_link).split()))
             _, out, inside = stack[-1]
-            found.append(Block(text, linked, out, inside, heading))
+            found.append(Block(text, linked, out > 0, inside, heading))
         parts = []
 
     at = 0
@@ -169,7 +173,11 @@ def blocks(page: str) -> list[Block]:
         _, out, inside = stack[-1]
         named = marked_out(tag, attributes)
         here = tag in ("article", "main") and not named
-        out = named or tag in OUT_TAGS or (tag == "header" and not inside) or (out and not here)
+        if named or (tag in OUT_TAGS and tag != "form") or (tag == "header" and not inside):
+            out = 2
+        elif out < 2:
+            # A form may hold the whole page.
+            out = 0 if here else max(out, int(tag == "form"))
         if out != stack[-1][1]:
             close()
         stack.append((tag, out, inside or here))
@@ -180,32 +188,50 @@ def blocks(page: str) -> list[Block]:
 
 def labels(found: list[Block]) -> list[bool]:
     """Whether each block is part of the article."""
-    has_article = any(b.inside and not b.out for b in found)
     first: list[bool | None] = []
     for block in found:
         size = len(block.text)
         linked = block.linked / size
-        if block.out or (has_article and not block.inside):
+        if block.out:
             first.append(False)
         elif linked > MAX_LINKS and (size < 2 * SHORT or not block.inside):
             first.append(False)
-        elif block.inside:
-            first.append(True)
+        elif size < SHORT:
+            first.append(None)
         else:
             words = LETTERS.findall(block.text.lower())
             density = sum(w in STOP_WORDS for w in words) / max(1, len(words))
-            if size < SHORT:
-                first.append(None)
-            elif density >= STOP_HIGH:
+            if density >= (STOP_INSIDE if block.inside else STOP_HIGH):
                 first.append(True)
-            elif density < STOP_LOW:
+            elif density < STOP_LOW and not block.inside:
                 first.append(False)
             else:
                 first.append(None)
-    decided = [i for i, x in enumerate(first) if x is not None]
-    if not decided:
+    if all(x is None for x in first) and not any(b.inside for b in found):
         # Nothing to inherit from: a page of short blocks only is its own text.
         return [True] * len(found)
+    marked = any(b.inside and not b.out for b in found)
+    result = [x is True for x in first]
+    for side in (True, False):
+        # Parts that are out stand apart from an article, but not from plain text.
+        places = [i for i, b in enumerate(found) if b.inside == side]
+        usable = [first[i] if not (side and found[i].out) else None for i in places]
+        if any(x is not None and (not side or x) for x in usable):
+            chosen = _inherited(usable, [found[i].heading for i in places])
+        elif side:
+            within = sum(len(found[i].text) for i in places if not found[i].out and first[i] is None)
+            outside = sum(len(b.text) for b, x in zip(found, first, strict=True) if x and not b.inside)
+            chosen = [within >= outside] * len(places)
+        else:
+            chosen = [not marked] * len(places)
+        for i, x in zip(places, chosen, strict=True):
+            if first[i] is None:
+                result[i] = x
+    return result
+
+
+def _inherited(first: list[bool | None], headings: list[bool]) -> list[bool]:
+    """The labels, open ones from the nearest decided block; at least one is decided."""
     before: list[int | None] = []
     last = None
     for i, x in enumerate(first):
@@ -220,7 +246,7 @@ def labels(found: list[Block]) -> list[bool]:
         if left is None or right is None:
             result[i] = bool(first[right if left is None else left])
         elif i - left == right - i:
-            result[i] = bool(first[right]) if found[i].heading else bool(first[left]) or bool(first[right])
+            result[i] = bool(first[right]) if headings[i] else bool(first[left]) or bool(first[right])
         else:
             result[i] = bool(first[left if i - left < right - i else right])
     return result

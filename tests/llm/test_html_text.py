@@ -59,6 +59,16 @@ def test_open_blocks_take_the_nearest_label():
     assert kept == ["b", "c", good, "d"]
 
 
+def test_teaser_articles_beside_plain_text():
+    good = "the one and the other of the two that was here in the house and at the sea for all of them"
+    teaser = "<article><h3>Other story</h3><p>Read on</p></article>"
+    assert main_text(f"<div>{good}</div><div>{good} too</div>{teaser}") == f"{good}\n{good} too"
+    assert main_text(f"<div>{good}</div><aside><article><p>{good} aside</p></article></aside>") == good
+    assert main_text(f"<form><div>no</div><main><p>{good}</p></main></form>") == good
+    dull = "Zirkon Quarz Glimmer Feldspat Basalt Granit Marmor Gneis Schiefer Kalk Sand Ton Lehm"
+    assert main_text(f"<article><p>{dull}</p><p>{good}</p></article><div>{dull}</div>") == f"{dull}\n{good}"
+
+
 def test_broken_markup():
     assert main_text(None) == main_text("") == main_text("<!-- x") == main_text("<script>never closed") == ""
     assert main_text("plain text & nothing") == "plain text & nothing"
