@@ -146,9 +146,13 @@ def _burst(sequences: DataFrame, limit: int) -> tuple[list[DataFrame], list[Data
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(3), pa.array(common, pa.int32())], ["head", "one", "common"])
 
     fitting, heads, ended = [], [], []
-    open_ = sequences.withColumns({
-        "head": F.lit("root"), "depth": F.lit(0), "above": F.lit(None).cast("string"), "round": F.lit(0),
-    })
+    # Written with its head: a constant would make the join with the containers a nested loop.
+    open_ = stage(
+        sequences.withColumns({
+            "head": F.lit("root"), "depth": F.lit(0), "above": F.lit(None).cast("string"), "round": F.lit(0),
+        }),
+        "distinct",
+    )
     while True:
         sizes = open_.groupBy("head").agg(
             F.count("*").alias("n"), F.min("seq").alias("least"), F.max("seq").alias("most"), F.min("first").alias("one")
@@ -253,7 +257,7 @@ def prefix_trie(sequences: DataFrame, limit: int = LIMIT) -> DataFrame:
     sequences = stage(sequences.select("conv_id", "seq", "chars"), "sequences")
     members = stage(_members(sequences), "members")
     distinct = sequences.join(members.drop("key"), F.col("conv_id") == F.col("first")).select("seq", "chars", "n", "first", "sha")
-    fitting, heads, ended = _burst(stage(distinct, "distinct"), limit)
+    fitting, heads, ended = _burst(distinct, limit)
     swept = stage(_sweep(reduce(DataFrame.unionByName, fitting)), "swept")
     inner = swept.where(~F.col("top")).select(*COLUMNS)
     tops = swept.where("top").drop("top")
