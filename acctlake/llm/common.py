@@ -4,12 +4,15 @@ from __future__ import annotations
 
 import math
 import sys
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark import cloudpickle
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from acctlake.session import scratch_dir
+from acctlake.session import drop_scratch, scratch_dir
 
 #: Word separators of every operator: space and the control characters 9 to 13.
 SPACE = r"[\x20\x09-\x0D]+"
@@ -21,13 +24,39 @@ def ship(module_name: str) -> None:
     cloudpickle.register_pickle_by_value(sys.modules[module_name])
 
 
-def stage(df: DataFrame, label: str) -> DataFrame:
+#: Folders staged in each open scope, innermost last.
+_SCOPES: list[list[str]] = []
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[None]:
+    """What is staged inside is removed at the end, except what is staged with ``keep``; shuffle files go after each job.
+
+    Nothing that is used later may depend on the rest, so all work has to be done inside.
+    """
+    before = spark.conf.get(SHUFFLE_CLEANUP, None)
+    spark.conf.set(SHUFFLE_CLEANUP, "true")
+    _SCOPES.append([])
+    try:
+        yield
+    finally:
+        spark.conf.set(SHUFFLE_CLEANUP, before or "false")
+        for path in _SCOPES.pop():
+            drop_scratch(spark, path)
+
+
+def stage(df: DataFrame, label: str, keep: bool = False) -> DataFrame:
     """Write ``df`` to a fresh folder in the shared scratch and read it back.
 
-    Cuts the lineage in a place that every executor can read again after a loss.
+    Cuts the lineage in a place that every executor can read again after a loss. With ``keep`` the folder outlives the scope that
+    is open; it then belongs to the one around it.
     """
     spark = df.sparkSession
     path = scratch_dir(spark, label)
+    owners = _SCOPES[:-1] if keep else _SCOPES
+    if owners:
+        owners[-1].append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
@@ -36,6 +65,18 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def with_row(df: DataFrame, name: str) -> DataFrame:
+    """``df`` with the place of each row in its Parquet files as the struct ``name``: the same in every scan, equal rows differ.
+
+    Rows that do not come straight from Parquet files are staged first.
+    """
+    try:
+        meta = df.metadataColumn("_metadata")
+        return df.withColumn(name, F.struct(F.xxhash64(meta["file_path"]).alias("file"), meta["row_index"].alias("at")))
+    except AnalysisException:
+        return with_row(stage(df, "numbered", keep=True), name)
+
+
 def with_key(*columns: str) -> Column:
     """128 bits that stand for the values of ``columns``; NULL and empty text differ."""
     parts = [F.col(c) for c in columns]

@@ -32,7 +32,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from acctlake.llm.common import ship, stage, with_key
+from acctlake.llm.common import scratch_scope, ship, stage, with_key
 
 #: Words of a window, and the share of them that must agree.
 WINDOW = 13
@@ -269,9 +269,12 @@ def without_contaminated(
     item_id: str = "item_id", item_text: str = "text",
 ) -> DataFrame:
     """The rows of ``docs`` that hold no item, with all their columns."""
-    found = contaminated(docs, benchmark, doc_id, text, item_id, item_text).select(
-        F.col("doc_id").alias("d__found"), F.col("ka").alias("ka__found"), F.col("kb").alias("kb__found")
-    ).distinct()
+    with scratch_scope(docs.sparkSession):
+        found = contaminated(docs, benchmark, doc_id, text, item_id, item_text).select(
+            F.col("doc_id").alias("d__found"), F.col("ka").alias("ka__found"), F.col("kb").alias("kb__found")
+        ).distinct()
+        # Written, so that its size is known before the rows of docs are shuffled for it.
+        found = stage(found, "found", keep=True)
     keyed = docs.withColumn("key__seed", with_key(doc_id, text))
     return keyed.join(
         found,

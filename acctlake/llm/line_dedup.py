@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from acctlake.llm.common import SPACE, ship, stage, with_key, word_count
+from acctlake.llm.common import SPACE, scratch_scope, ship, stage, with_key, word_count
 
 MIN_WORDS = 5
 
@@ -181,10 +181,11 @@ def dedup_lines(
 
     ``lines_deleted`` replaces a column of that name.
     """
-    copies = later_copies(docs, min_words, doc_id, text)
-    # The lines of one document.
-    per_doc = copies.groupBy(*DOC).agg(F.sort_array(F.collect_list("pos")).alias("lines_deleted__"))
-    per_doc = per_doc.select(*[F.col(c).alias(f"{c}__line") for c in DOC], "lines_deleted__")
+    with scratch_scope(docs.sparkSession):
+        copies = later_copies(docs, min_words, doc_id, text)
+        # The lines of one document.
+        per_doc = copies.groupBy(*DOC).agg(F.sort_array(F.collect_list("pos")).alias("lines_deleted__"))
+        per_doc = stage(per_doc.select(*[F.col(c).alias(f"{c}__line") for c in DOC], "lines_deleted__"), "deleted", keep=True)
     carried = docs.drop("lines_deleted").withColumn("key__line", with_key(doc_id, text))
     joined = carried.join(
         per_doc,
@@ -193,9 +194,13 @@ def dedup_lines(
         "left",
     ).drop("key__line", "d__line", "ka__line", "kb__line")
     gone = F.col("lines_deleted__")
-    kept = F.array_join(
-        F.filter(F.split(F.col(text), "\n"), lambda line, i: ~F.array_contains(gone, i.cast("int"))), "\n"
-    )
+    # One look-up set per document; the lines are bound once, as a lambda's variable.
+    kept = F.transform(
+        F.array(F.split(F.col(text), "\n")),
+        lambda lines: F.array_join(
+            F.transform(F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), gone), lambda i: lines[i]), "\n"
+        ),
+    )[0]
     return (
         joined.withColumn(text, F.when(gone.isNull(), F.col(text)).otherwise(kept))
         .withColumn("lines_deleted", F.coalesce(gone, F.array().cast("array<int>")))

@@ -75,3 +75,11 @@ def test_long_copy(spark):
 
 def test_shortest_runs():
     assert shortest_runs([2, 2, 9, 1], [0, 1, 2, 5], 4) == {(0, 2), (1, 2), (2, 1)}
+
+
+def test_very_many_deleted_lines_in_one_document(spark):
+    long = "\n".join(f"line {i} of a very long list" for i in range(100_000))
+    rows = [(1, long), (2, "before it\n" + long + "\n\nafter it"), (3, None)]
+    found = {r.doc_id: r for r in dedup_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert found[1].text == long and found[2].text == "before it\n\nafter it" and found[3].text is None
+    assert len(found[2].lines_deleted) == 100_000
