@@ -34,6 +34,7 @@ from acctlake.plans import queries as Q
 from acctlake.plans import reports as R
 from acctlake.plans.ingest import ingest
 from acctlake.session import scratch_dir
+from acctlake.sources import compaction
 from acctlake.sources import dataset as D
 from acctlake.sources.rdw import read_records
 from acctlake.sources.seed import read_seed
@@ -877,6 +878,21 @@ def _(spark, sf_dir):
     return D.read_table(spark, root, "smf30").select(*_SHOWN_COLUMNS, "run_id")
 
 
+@_query("s13_compacted", f"{_WITH_STORED} SELECT {_SHOWN}, 'R' || excp_count % 4 AS run_id FROM stored")
+def _(spark, sf_dir):
+    root = scratch_dir(spark, "lake")
+    rows = D.with_partitions(_order_rows(spark, sf_dir), F.lit("ALL")).drop("owner")
+    rows = rows.withColumn("run_id", F.concat(F.lit("R"), F.col("excp_count") % 4))
+    # The last run comes after the first compaction, which a second one then merges again.
+    for runs in (("R0", "R1", "R2"), ("R3",)):
+        D.write_table(D.clustered(rows.where(F.col("run_id").isin(*runs)), "year", "month"), f"{root}/smf30")
+        ended = spark.createDataFrame([(None, r, r, 0, r) for r in runs], D.FILES_SCHEMA)
+        ended.write.mode("append").parquet(f"{root}/{D.FILES}")
+        compaction.compact(spark, root, "smf30", compaction.months_present(spark, root, "smf30", before=(1998, 1)))
+    compaction.vacuum(spark, root, "smf30", retention=0)
+    return D.read_table(spark, root, "smf30").select(*_SHOWN_COLUMNS, "run_id")
+
+
 @_query("s14_lineage", "SELECT CAST(event_id AS BIGINT) AS excp_count, true AS has_file, true AS has_hash, "
         "true AS one_run, CAST(1 AS BIGINT) AS same_place FROM events")
 def _(spark, sf_dir):

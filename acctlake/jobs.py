@@ -23,7 +23,8 @@ from acctlake.plans.ingest import DEFAULT_CUSTOMER, ingest  # noqa: E402
 from acctlake.plans.marts import build_marts, read_marts  # noqa: E402
 from acctlake.plans.reports import REPORTS, export_csv  # noqa: E402
 from acctlake.session import build_session  # noqa: E402
-from acctlake.sources.dataset import read_type  # noqa: E402
+from acctlake.sources.compaction import RETENTION, compact, months_present, vacuum  # noqa: E402
+from acctlake.sources.dataset import read_type, tables_present  # noqa: E402
 from acctlake.sources.seed import read_seed  # noqa: E402
 
 FAILED = 2
@@ -38,6 +39,10 @@ def parser() -> argparse.ArgumentParser:
     job.add_argument("customer", nargs="?", default=DEFAULT_CUSTOMER)
     job.add_argument("--glob", help="only files of such names")
     job.add_argument("--run-id", help="repeat a failed run under its name")
+    job = jobs.add_parser("compact", help="merge the runs of closed months, remove what was merged before")
+    job.add_argument("dataset")
+    job.add_argument("before", help="first month that is not closed, as 2025-04")
+    job.add_argument("--keep-days", type=float, default=RETENTION / 86400, help="days that merged run folders stay for readers")
     job = jobs.add_parser("marts", help="reporting tables from the dataset")
     job.add_argument("dataset")
     job.add_argument("mapping", help="CSV of job_pattern, application, app_group")
@@ -59,6 +64,12 @@ def run(spark: SparkSession, arguments: list[str]) -> int:
             # One row per type and kind.
             for row in audit.orderBy("table_name").toLocalIterator():
                 print(f"{row['table_name']:<16} {row['disposition']:<12} {row['records']:>14} records {row['rows']:>14} rows")
+        elif args.job == "compact":
+            year, month = map(int, args.before.split("-"))
+            for table in sorted(tables_present(args.dataset)):
+                merged = compact(spark, args.dataset, table, months_present(spark, args.dataset, table, (year, month)))
+                gone = vacuum(spark, args.dataset, table, args.keep_days * 86400)
+                print(f"{table:<16} {len(merged):>6} months {sum(merged.values()):>8} runs merged {gone:>8} folders removed")
         elif args.job == "marts":
             built = build_marts(spark, read_type(spark, args.dataset, "smf30"), read_seed(spark, args.mapping), args.target)
             for name in ("dim_application", "fct_job_consumption", "agg_consumption_daily", "rpt_jobs_by_date"):

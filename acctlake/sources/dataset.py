@@ -4,6 +4,7 @@
 share ``<root>/header_only/table_name=…/…``. Publishing is append-only: a run only ever adds files
 under its own ``run_id``, so a run that is repeated after a failure replaces exactly what it wrote
 before. ``system_id`` stays a column in the files; the directory carries its sanitised form.
+Closed months can be merged into few files (:mod:`acctlake.sources.compaction`); readers follow the table's manifest.
 """
 
 from __future__ import annotations
@@ -15,6 +16,7 @@ from pyspark.sql import types as T
 
 from acctlake.functions.text import date_parts, sanitize
 from acctlake.operators import layouts as L
+from acctlake.sources import manifest as M
 from acctlake.sources.files import locate
 
 PARTITIONS = ("customer", "path_system_id", "year", "month", "run_id")
@@ -119,10 +121,21 @@ def tables_present(root: str) -> dict[str, str]:
     return found
 
 
-def _stored_schema(table: str, by_table: bool) -> str:
+def folder_of(root: str, table: str) -> str:
+    """The folder below which a table is partitioned; header-only tables share one."""
+    return f"{root}/{HEADER_ONLY}" if table not in L.BY_TABLE and table != "raw" else f"{root}/{table}"
+
+
+def table_path(root: str, table: str) -> str:
+    """The folder of a table's customers."""
+    folder = folder_of(root, table)
+    return f"{folder}/table_name={table}" if folder.endswith(f"/{HEADER_ONLY}") else folder
+
+
+def _stored_schema(table: str, by_table: bool, merged: bool = False) -> str:
     columns = [
         f"`{n}` {k}" for n, k in L.columns_of(table).items() if n not in PARTITIONS
-    ] + [f"{p} string" for p in PARTITIONS]
+    ] + [f"{M.ORIGIN} string"] * merged + [f"{p} string" for p in PARTITIONS]
     if by_table:
         columns.append("table_name string")
     return ", ".join(columns)
@@ -148,9 +161,13 @@ def read_table(spark: SparkSession, root: str, table: str, merge_schema: bool =
 
     A filter prunes after all folders were listed. ``customer``, ``system``, ``year`` and ``month`` (as the folders are
     named) choose folders before that: only the chosen ones are listed. No such folder gives no rows.
+
+    Of compacted months the merged rows are read, and show the run that they came from; the manifest is taken first and the
+    folders are listed after, so the rows are those of one version.
     """
     by_table = table not in L.BY_TABLE and table != "raw"
-    path = f"{root}/{HEADER_ONLY}" if by_table else f"{root}/{table}"
+    known = M.read(spark, root, table)
+    path = folder_of(root, table)
     chosen = {"customer": customer, "path_system_id": system, "year": year, "month": month}
     reader = spark.read
     if any(v is not None for v in chosen.values()):
@@ -159,9 +176,8 @@ def read_table(spark: SparkSession, root: str, table: str, merge_schema: bool =
         while parts[-1].endswith("=*"):
             parts.pop()
         path = "/".join([base, *parts])
-        schema = _stored_schema(table, by_table)
         if not _any_match(spark, path):
-            rows = spark.createDataFrame([], schema)
+            rows = spark.createDataFrame([], _stored_schema(table, by_table))
             return rows.drop("table_name") if by_table else rows
         reader = reader.option("basePath", base)
     if merge_schema:
@@ -173,17 +189,26 @@ def read_table(spark: SparkSession, root: str, table: str, merge_schema: bool =
         )
         rows = reader.schema(kept).parquet(path)
     else:
-        rows = reader.schema(_stored_schema(table, by_table)).parquet(path)
+        rows = reader.schema(_stored_schema(table, by_table, bool(known.months))).parquet(path)
+    rows = rows.where(known.visible())
+    if M.ORIGIN in rows.columns:
+        rows = rows.withColumn("run_id", F.coalesce(M.ORIGIN, "run_id")).drop(M.ORIGIN)
     if by_table:
         rows = rows.where(F.col("table_name") == table).drop("table_name")
     return rows
 
 
+def read_folders(spark: SparkSession, root: str, table: str) -> DataFrame:
+    """All folders of a table as they are, whether they count or not, with ``origin_run`` of merged rows and, for
+    header-only tables, ``table_name``."""
+    by_table = table not in L.BY_TABLE and table != "raw"
+    rows = spark.read.schema(_stored_schema(table, by_table, merged=True)).parquet(folder_of(root, table))
+    return rows.where(F.col("table_name") == table) if by_table else rows
+
+
 def _any_match(spark: SparkSession, pattern: str) -> bool:
     """Whether a folder pattern matches anything, asked of the file system that Spark reads from."""
-    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(pattern)
-    found = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(path)
-    return found is not None and len(found) > 0
+    return bool(M.matching(spark, pattern))
 
 
 def read_audit(spark: SparkSession, root: str) -> DataFrame:

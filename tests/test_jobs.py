@@ -37,6 +37,17 @@ def test_marts_and_export(spark, lake, capsys):
     assert [p.name.rsplit("-", 1)[0] for p in (lake / "csv").iterdir()] == ["top_consumers"]
 
 
+def test_compact(spark, lake, capsys):
+    for name in ("one", "two"):
+        assert jobs.run(spark, ["ingest", str(lake / "in"), str(lake / "small"), "--run-id", name]) == 0
+    capsys.readouterr()
+    assert jobs.run(spark, ["compact", str(lake / "small"), "2025-05", "--keep-days", "0"]) == 0
+    assert capsys.readouterr().out.split() == "smf30 1 months 2 runs merged 2 folders removed".split()
+    runs = D.read_type(spark, str(lake / "small"), "smf30").groupBy("run_id").count().collect()
+    assert {(r.run_id, r["count"]) for r in runs} == {("one", 7), ("two", 7)}
+    assert jobs.run(spark, ["compact", str(lake / "small"), "soon"]) == jobs.FAILED
+
+
 def test_failures_have_an_exit_code(spark, lake, capsys):
     assert jobs.run(spark, ["export", str(lake / "nowhere"), "--out", str(lake / "csv")]) == jobs.FAILED
     (lake / "bad.csv").write_text("job_pattern,application,app_group\nA*,One,G\nA*,Two,G\n")
