@@ -31,6 +31,7 @@ from acctlake.operators.route import records_of, route, type_counts
 from acctlake.operators.sections import directory_entry, section_column
 from acctlake.plans import marts as M
 from acctlake.plans import queries as Q
+from acctlake.plans import refresh
 from acctlake.plans import reports as R
 from acctlake.plans.ingest import ingest
 from acctlake.session import scratch_dir
@@ -942,6 +943,23 @@ def _(spark, sf_dir):
     return built["agg_consumption_daily"].drop("year", "month")
 
 
+@_query("s17_refresh", f"{_MARTS_SQL} SELECT * FROM agg".replace("n.n_name AS customer", "'ACME' AS customer"))
+def _(spark, sf_dir):
+    root, target = scratch_dir(spark, "lake"), scratch_dir(spark, "marts")
+    rows = acct(spark, sf_dir).withColumns({
+        "customer": F.lit("ACME"), "path_system_id": F.lit("ALL"), "year": F.date_format("smf_date", "yyyy"),
+        "month": F.date_format("smf_date", "MM"), "file_hash": F.col("source_file"),
+    })
+    # Half of the files, the other half, and one of the first half once more.
+    for run, files in (("R1", "0 1 2 3 4"), ("R2", "5 6 7 8 9"), ("R3", "3")):
+        names = [f"batch-{n}" for n in files.split()]
+        chosen = rows.where(F.col("source_file").isin(names)).withColumn("run_id", F.lit(run))
+        D.write_table(D.clustered(chosen, "year", "month"), f"{root}/smf30")
+        spark.createDataFrame([(None, n, n, 0, run) for n in names], D.FILES_SCHEMA).write.mode("append").parquet(f"{root}/{D.FILES}")
+        refresh.refresh_marts(spark, root, seed(spark), target)
+    return refresh.read_refreshed(spark, target)["agg_consumption_daily"].drop("year", "month")
+
+
 @_query("s18_adhoc_sql", f"{_WITH_ACCT} SELECT system_id, year, CAST(count(*) AS BIGINT) AS n, "
         "round(sum(elapsed_sec), 1) AS elapsed FROM acct WHERE job_name LIKE 'Brand#1%' GROUP BY ALL")
 def _(spark, sf_dir):

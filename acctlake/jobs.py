@@ -21,6 +21,7 @@ from pyspark.sql import functions as F  # noqa: E402
 
 from acctlake.plans.ingest import DEFAULT_CUSTOMER, ingest  # noqa: E402
 from acctlake.plans.marts import build_marts, read_marts  # noqa: E402
+from acctlake.plans.refresh import read_refreshed, read_state, refresh_marts, vacuum_marts  # noqa: E402
 from acctlake.plans.reports import REPORTS, export_csv  # noqa: E402
 from acctlake.session import build_session  # noqa: E402
 from acctlake.sources.compaction import RETENTION, compact, months_present, vacuum  # noqa: E402
@@ -47,6 +48,11 @@ def parser() -> argparse.ArgumentParser:
     job.add_argument("dataset")
     job.add_argument("mapping", help="CSV of job_pattern, application, app_group")
     job.add_argument("target", help="folder of the marts")
+    job = jobs.add_parser("refresh", help="reporting tables of the months that new runs have touched")
+    job.add_argument("dataset")
+    job.add_argument("mapping", help="CSV of job_pattern, application, app_group")
+    job.add_argument("target", help="folder of the marts by month")
+    job.add_argument("--keep-days", type=float, default=RETENTION / 86400, help="days that replaced builds stay for readers")
     job = jobs.add_parser("export", help="reports as CSV")
     job.add_argument("marts", help="folder of the marts")
     job.add_argument("--out", required=True)
@@ -74,8 +80,14 @@ def run(spark: SparkSession, arguments: list[str]) -> int:
             built = build_marts(spark, read_type(spark, args.dataset, "smf30"), read_seed(spark, args.mapping), args.target)
             for name in ("dim_application", "fct_job_consumption", "agg_consumption_daily", "rpt_jobs_by_date"):
                 print(f"{name:<24} {built[name].agg(F.count(F.lit(1))).first()[0]:>14} rows")
+        elif args.job == "refresh":
+            months = refresh_marts(spark, args.dataset, read_seed(spark, args.mapping), args.target)
+            gone = vacuum_marts(spark, args.target, args.keep_days * 86400)
+            print(f"{len(months)} months built {gone} folders removed")
         else:
-            written = export_csv(read_marts(spark, args.marts), args.out, args.only, single_file=args.single_file)
+            by_month = read_state(spark, args.marts).build is not None
+            stored = read_refreshed(spark, args.marts) if by_month else read_marts(spark, args.marts)
+            written = export_csv(stored, args.out, args.only, single_file=args.single_file)
             for name, rows in written.items():
                 print(f"{name:<28} {rows:>14} rows")
     except (RuntimeError, ValueError) as problem:

@@ -122,7 +122,7 @@ def compact(spark: SparkSession, root: str, table: str, months: Sequence[tuple[i
         published = True
     finally:
         if not published:
-            _remove(spark, [path for year, month in chosen for path, _ in _folders(spark, root, table, year, month, name)])
+            remove(spark, [path for year, month in chosen for path, _ in _folders(spark, root, table, year, month, name)])
     return {(int(year), int(month)): len(runs) for (year, month), runs in chosen.items()}
 
 
@@ -144,13 +144,15 @@ def vacuum(spark: SparkSession, root: str, table: str, retention: float = RETENT
         path for path, changed in _folders(spark, root, table, run=f"{M.MERGED}*")
         if path.rsplit("run_id=", 1)[1] not in counted | listed and changed <= limit
     ]
-    _remove(spark, gone)
+    remove(spark, gone)
     if old:
         M.commit(spark, root, table, seen, seen.with_months([replace(m, replaces=()) for m in old]))
     return len(gone)
 
 
-def _remove(spark: SparkSession, paths: list[str]) -> None:
+def remove(spark: SparkSession, paths: list[str]) -> None:
+    """Remove folders, several at a time."""
+
     def one(path: str) -> None:
         files, where = M.file_system(spark, path)
         files.delete(where, True)

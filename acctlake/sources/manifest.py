@@ -10,6 +10,7 @@ from __future__ import annotations
 import json
 import time
 from dataclasses import asdict, dataclass, replace
+from typing import Any
 
 from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
@@ -76,50 +77,57 @@ def matching(spark: SparkSession, pattern: str) -> list[tuple[str, float]]:
     return [(s.getPath().toString(), s.getModificationTime() / 1000) for s in files.globStatus(where) or []]
 
 
-def _versions(spark: SparkSession, root: str, table: str) -> list[int]:
-    names = [path.rsplit("/", 1)[1] for path, _ in matching(spark, f"{root}/{FOLDER}/{table}/*.json")]
+def _versions(spark: SparkSession, folder: str) -> list[int]:
+    names = [path.rsplit("/", 1)[1] for path, _ in matching(spark, f"{folder}/*.json")]
     return sorted(int(n.removesuffix(".json")) for n in names if n.removesuffix(".json").isdigit())
 
 
-def _path(root: str, table: str, version: int) -> str:
-    return f"{root}/{FOLDER}/{table}/{version:010d}.json"
-
-
-def read(spark: SparkSession, root: str, table: str) -> Manifest:
-    """The newest whole manifest."""
+def newest(spark: SparkSession, folder: str) -> tuple[int, Any]:
+    """The newest whole version in a folder of versions and what it holds; version 0 and None before the first."""
     io = spark.sparkContext._jvm.org.apache.commons.io.IOUtils
-    for version in reversed(_versions(spark, root, table)):
-        files, where = file_system(spark, _path(root, table, version))
+    for version in reversed(_versions(spark, folder)):
+        files, where = file_system(spark, f"{folder}/{version:010d}.json")
         stream = files.open(where)
         try:
-            stored = json.loads(io.toString(stream, "UTF-8"))
+            return version, json.loads(io.toString(stream, "UTF-8"))
         except ValueError:  # its writer has died, or is still at it
             continue
         finally:
             stream.close()
-        return Manifest(version, tuple(Month(**{**m, "replaces": tuple(m["replaces"])}) for m in stored))
-    return Manifest()
+    return 0, None
 
 
-def commit(spark: SparkSession, root: str, table: str, seen: Manifest, changed: Manifest) -> Manifest:
-    """Publish ``changed`` as the version after all that exist, if none has come after ``seen``.
+def publish(spark: SparkSession, folder: str, seen: int, content: Any) -> int:
+    """Write ``content`` as the version after all that exist, if none that is whole has come after ``seen``.
 
-    The file is created, never overwritten. Stores whose ``create`` cannot refuse need one compaction of a table at a time.
+    The file is created, never overwritten. Stores whose ``create`` cannot refuse need one writer at a time.
     """
-    if read(spark, root, table).version != seen.version:
-        raise Conflict(f"{table}: there is a version after {seen.version}")
-    version = max([seen.version, *_versions(spark, root, table)]) + 1
-    files, where = file_system(spark, _path(root, table, version))
+    if newest(spark, folder)[0] != seen:
+        raise Conflict(f"{folder}: there is a version after {seen}")
+    version = max([seen, *_versions(spark, folder)]) + 1
+    files, where = file_system(spark, f"{folder}/{version:010d}.json")
     try:
         stream = files.create(where, False)
     except Exception as problem:
         if "already exists" not in str(problem):
             raise
-        raise Conflict(f"{table}: version {version} is there") from problem
+        raise Conflict(f"{folder}: version {version} is there") from problem
     try:
-        stream.write(bytearray(json.dumps([asdict(m) for m in changed.months]).encode()))
+        stream.write(bytearray(json.dumps(content).encode()))
     finally:
         stream.close()
+    return version
+
+
+def read(spark: SparkSession, root: str, table: str) -> Manifest:
+    """The newest whole manifest."""
+    version, stored = newest(spark, f"{root}/{FOLDER}/{table}")
+    return Manifest(version, tuple(Month(**{**m, "replaces": tuple(m["replaces"])}) for m in stored or []))
+
+
+def commit(spark: SparkSession, root: str, table: str, seen: Manifest, changed: Manifest) -> Manifest:
+    """Publish ``changed`` if no other compaction has published after ``seen``."""
+    version = publish(spark, f"{root}/{FOLDER}/{table}", seen.version, [asdict(m) for m in changed.months])
     return replace(changed, version=version)
 
 

@@ -65,7 +65,7 @@ def test_crash_between_write_and_publishing(spark, root, monkeypatch, first):
     with monkeypatch.context() as m:
         # The driver dies: neither is the manifest published nor does anything clean up.
         m.setattr(M, "commit", lambda *_: (_ for _ in ()).throw(KeyboardInterrupt()))
-        m.setattr(C, "_remove", lambda *_: None)
+        m.setattr(C, "remove", lambda *_: None)
         with pytest.raises(KeyboardInterrupt):
             C.compact(spark, root, "smf30", [(2025, 3), (2025, 4)])
     assert rows_of(spark, root) == before

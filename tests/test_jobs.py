@@ -48,6 +48,15 @@ def test_compact(spark, lake, capsys):
     assert jobs.run(spark, ["compact", str(lake / "small"), "soon"]) == jobs.FAILED
 
 
+def test_refresh_and_export(spark, lake, capsys):
+    (lake / "map.csv").write_text("job_pattern,application,app_group\n*,All,Group\n")
+    for expected in ("1 months built 0 folders removed", "0 months built 0 folders removed"):
+        assert jobs.run(spark, ["refresh", str(lake / "lake"), str(lake / "map.csv"), str(lake / "monthly")]) == 0
+        assert capsys.readouterr().out.strip() == expected
+    assert jobs.run(spark, ["export", str(lake / "monthly"), "--out", str(lake / "csv2"), "--only", "top_consumers"]) == 0
+    assert capsys.readouterr().out.split()[0] == "top_consumers"
+
+
 def test_failures_have_an_exit_code(spark, lake, capsys):
     assert jobs.run(spark, ["export", str(lake / "nowhere"), "--out", str(lake / "csv")]) == jobs.FAILED
     (lake / "bad.csv").write_text("job_pattern,application,app_group\nA*,One,G\nA*,Two,G\n")
