@@ -20,6 +20,8 @@ SETTINGS = {
     # Decoding a table is one wide projection. Java only compiles methods up to this size; beyond it
     # Spark then generates many small ones instead of one that stays interpreted (3 times slower).
     "spark.sql.codegen.hugeMethodLimit": "8000",
+    # Batches to Python are bounded in bytes as well as in rows: records, pages and tables of ranges are long.
+    "spark.sql.execution.arrow.maxBytesPerBatch": "64m",
     # Plans of many columns are built call by call; recording the Python line of each call doubles it.
     "spark.python.sql.dataFrameDebugging.enabled": "false",
 }

@@ -5,12 +5,13 @@ Files are read in parallel, and so are the byte ranges of one large file:
 
 1. Every file is cut into ranges of ``range_bytes``. A file of one range starts at byte 0.
 2. For files of several ranges, a first pass works out for each range where *every* possible entry
-   leaves it: chains that meet go on as one, so this is little more than one walk. Following these
-   tables along a file gives the true entry of each range. Nothing is guessed, and the number of jobs does not
-   depend on the number of ranges or on what the records hold.
+   leaves it: chains that meet go on as one, so this is little more than one walk. Such a table is a function, so the
+   tables of ``FAN`` neighbours compose to one, these again, until a file has few; from there the true entries are followed
+   down again, ``FAN`` tables at a time. Nothing is guessed, no task goes through more than ``FAN`` tables of a file, and the
+   number of jobs grows with the logarithm of the number of ranges only (base ``FAN``), whatever the records hold.
 3. The second pass reads every range from its true start and emits the records.
 
-Only file names, sizes and one table per range (0.6 % of 64 MB) ever leave the tasks.
+Only file names, sizes and one table per range (1 % of 64 MB before compression) ever leave the tasks.
 """
 
 from __future__ import annotations
@@ -19,6 +20,7 @@ import hashlib
 import struct
 import sys
 from collections.abc import Iterator
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -43,6 +45,8 @@ HASH_BLOCK = 4 * 1024 * 1024
 PREFIX, LONGEST = 4, 0xFFFF
 #: Chains are compared at the end of each stretch of so many bytes.
 STRETCH = 4096
+#: Neighbouring tables of a file that one task composes, or follows, in order.
+FAN = 128
 BATCH_BYTES, BATCH_ROWS = 8 * 1024 * 1024, 65536
 
 BAD_LENGTH, CUT_OFF, SEGMENTED = "bad length", "cut off", "segmented record"
@@ -54,7 +58,9 @@ FRAME_SCHEMA = (
 SURVEY_SCHEMA = (
     "source_file string, length bigint, range_no bigint, leave binary, hash_high bigint, hash_low bigint"
 )
-INDEX_SCHEMA = "source_file string, length bigint, range_no bigint, entry bigint, first_seq bigint"
+#: ``node`` is the place of a table in its file: a range, or so many times ``FAN`` ranges.
+NODE_SCHEMA = "source_file string, length bigint, node bigint, leave binary"
+INDEX_SCHEMA = "source_file string, length bigint, node bigint, entry bigint, first_seq bigint"
 
 
 # -- helpers that run inside tasks ---------------------------------------------------------------
@@ -104,7 +110,7 @@ def _walk(data: bytes, position: int, limit: int) -> tuple[list[int], int, str |
 
 
 #: Where one entry leaves a range: bytes past its end, frames up to there, whether the chain broke.
-_LEAVE = np.dtype([("past", "<u2"), ("frames", "<u4"), ("broke", "u1")])
+_LEAVE = np.dtype([("past", "<u2"), ("frames", "<u8"), ("broke", "u1")])
 
 
 def _leaves(data: bytes, span: int) -> np.ndarray:
@@ -172,22 +178,62 @@ def _survey_ranges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
             )
 
 
-def _follow(batches: Iterator[pa.RecordBatch], range_bytes: int) -> Iterator[pa.RecordBatch]:
-    """True entry and first sequence number of each range that has frames; ranges come in order."""
-    file, entry, sequence, dead = None, 0, 0, False
+def _after(first: np.ndarray, then: np.ndarray) -> np.ndarray:
+    """Where every entry of one stretch of a file leaves the next one."""
+    out = then[first["past"]]
+    out["frames"] += first["frames"]
+    broke = first["broke"] != 0
+    out[broke] = first[broke]
+    return out
+
+
+def _table(batch: pa.RecordBatch, row: int, column: str = "leave") -> np.ndarray:
+    return np.frombuffer(batch.column(column)[row].as_buffer(), _LEAVE)
+
+
+def _compose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """One table for each ``FAN`` neighbours of a file; a file's tables come in order."""
+    group, whole = None, None
+
+    def made() -> pa.RecordBatch:
+        columns = [pa.array([v], t) for v, t in zip((*group, whole.tobytes()), _NODE_ARROW.types, strict=True)]
+        return pa.RecordBatch.from_arrays(columns, schema=_NODE_ARROW)
+
+    for batch in batches:
+        for i in range(batch.num_rows):
+            name, length, node = (batch.column(c)[i].as_py() for c in range(3))
+            if (name, length, node // FAN) == group:
+                whole = _after(whole, _table(batch, i))
+                continue
+            if group is not None:
+                yield made()
+            group, whole = (name, length, node // FAN), _table(batch, i)
+    if group is not None:
+        yield made()
+
+
+def _follow(batches: Iterator[pa.RecordBatch], node_bytes: int) -> Iterator[pa.RecordBatch]:
+    """True entry and first sequence number of each node that has frames.
+
+    Each ``FAN`` neighbours come in order after a row without table, which has the entry and the sequence number of the first;
+    neighbours without such a row have no frames.
+    """
+    group, entry, sequence, dead = None, 0, 0, True
     for batch in batches:
         rows = []
         for i in range(batch.num_rows):
-            name, length, number = (batch.column(c)[i].as_py() for c in range(3))
-            if name != file:
-                file, entry, sequence, dead = name, 0, 0, False
-            if dead:
+            name, length, node = (batch.column(c)[i].as_py() for c in range(3))
+            if not batch.column(3)[i].is_valid:
+                group, dead = (name, node // FAN), False
+                entry, sequence = (batch.column(c)[i].as_py() for c in (4, 5))
+                continue
+            if dead or (name, node // FAN) != group:
                 continue
-            start = number * range_bytes
-            end = min(start + range_bytes, length)
-            past, frames, broke = np.frombuffer(batch.column(3)[i].as_buffer(), _LEAVE)[entry - start]
+            start = node * node_bytes
+            end = min(start + node_bytes, length)
+            past, frames, broke = _table(batch, i)[entry - start]
             if frames:
-                rows.append((name, length, number, entry, sequence))
+                rows.append((name, length, node, entry, sequence))
             entry, sequence, dead = end + int(past), sequence + int(frames), bool(broke)
         columns = zip(*rows, strict=True) if rows else [()] * 5
         yield pa.RecordBatch.from_arrays(
@@ -205,11 +251,14 @@ _SURVEY_ARROW = pa.schema(
         ("hash_low", pa.int64()),
     ]
 )
+_NODE_ARROW = pa.schema(
+    [("source_file", pa.string()), ("length", pa.int64()), ("node", pa.int64()), ("leave", pa.binary())]
+)
 _INDEX_ARROW = pa.schema(
     [
         ("source_file", pa.string()),
         ("length", pa.int64()),
-        ("range_no", pa.int64()),
+        ("node", pa.int64()),
         ("entry", pa.int64()),
         ("first_seq", pa.int64()),
     ]
@@ -298,8 +347,16 @@ def _spread(ranges: DataFrame, tasks: int) -> DataFrame:
     return ranges.repartition(max(1, tasks))
 
 
-def _range_index(spark: SparkSession, large: DataFrame, range_bytes: int, tasks: int) -> DataFrame:
-    """True entry, first sequence number and content digest for every range of the large files."""
+def _neighbours(nodes: DataFrame, tasks: int, *first: str) -> DataFrame:
+    """Each ``FAN`` neighbours of a file in one task, in order; several such groups come one after the other."""
+    group = F.expr(f"node div {FAN}")
+    return nodes.repartition(tasks, "source_file", group).sortWithinPartitions("source_file", group, *first, "node")
+
+
+def _range_index(spark: SparkSession, large: DataFrame, range_bytes: int, tasks: int, longest: int,
+                 size: int) -> DataFrame:
+    """True entry, first sequence number and content digest for every range of the large files, of which ``longest`` bytes
+    are the longest and all together have at most ``size``."""
     ranges = (
         large.select(
             "*",
@@ -319,16 +376,36 @@ def _range_index(spark: SparkSession, large: DataFrame, range_bytes: int, tasks:
             F.lpad(F.hex(F.bit_xor("hash_low")), 16, "0"),
         ).alias("file_hash")
     )
-    # One file after the other, range by range; a task holds one table at a time.
-    in_order = (
-        survey.select("source_file", "length", "range_no", "leave")
-        .repartition("source_file")
-        .sortWithinPartitions("source_file", "range_no")
-    )
-    entries = in_order.mapInArrow(lambda batches: _follow(batches, range_bytes), INDEX_SCHEMA)
+    # Up: tables of FAN neighbours are composed until no file has more than FAN. Each level is read twice, so it is written.
+    nodes = [survey.select("source_file", "length", F.col("range_no").alias("node"), "leave")]
+    scratch, step = [surveyed], range_bytes
+
+    def groups(node_bytes: int) -> int:
+        return size // (node_bytes * FAN) + 1
+
+    while -(-longest // step) > FAN:
+        scratch.append(scratch_dir(spark, "composed"))
+        composed = _neighbours(nodes[-1], groups(step)).mapInArrow(_compose, NODE_SCHEMA)
+        composed.write.parquet(scratch[-1])
+        nodes.append(spark.read.schema(NODE_SCHEMA).parquet(scratch[-1]))
+        step *= FAN
+    # Down: what is known of a group is where its first node is entered; for a whole file, at its first byte.
+    none = F.lit(None)
+    zero = F.lit(0).cast("long")
+    known = large.select("source_file", "length", zero.alias("node"), zero.alias("entry"), zero.alias("first_seq"))
+    for level in reversed(nodes):
+        entered = known.select("source_file", "length", (F.col("node") * FAN).alias("node"),
+                               none.cast("binary").alias("leave"), "entry", "first_seq")
+        both = level.select("*", none.cast("long").alias("entry"), none.cast("long").alias("first_seq")).unionByName(entered)
+        both = both.withColumn("is_table", F.col("leave").isNotNull())
+        known = _neighbours(both, groups(step), "is_table").mapInArrow(partial(_follow, node_bytes=step), INDEX_SCHEMA)
+        step //= FAN
+    entries = known.withColumnRenamed("node", "range_no")
     entries.join(hashes, "source_file").write.parquet(index)
-    drop_scratch(spark, surveyed)
-    return spark.read.schema(f"{INDEX_SCHEMA}, file_hash string").parquet(index)
+    for path in scratch:
+        drop_scratch(spark, path)
+    stored = "source_file string, length bigint, range_no bigint, entry bigint, first_seq bigint, file_hash string"
+    return spark.read.schema(stored).parquet(index)
 
 
 def split_files(files: DataFrame, range_bytes: int | None = None) -> DataFrame:
@@ -368,7 +445,8 @@ def split_files(files: DataFrame, range_bytes: int | None = None) -> DataFrame:
     )
     ranges = small
     if sizes["longest"] > range_bytes:
-        index = _range_index(spark, files.where(F.col("length") > range_bytes), range_bytes, tasks)
+        large = files.where(F.col("length") > range_bytes)
+        index = _range_index(spark, large, range_bytes, tasks, sizes["longest"], sizes["bytes"])
         ranges = small.unionByName(index.select(*small.columns))
     located = (
         ranges.withColumn("range_bytes", F.lit(range_bytes).cast("long"))

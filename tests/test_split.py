@@ -7,6 +7,7 @@ import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from logs import finish, framed, header, write
+from pyspark.sql import functions as F
 
 from acctlake.sources import rdw
 
@@ -166,6 +167,55 @@ def test_every_entry_leaves_where_a_walk_does():
                 assert error or past == stop - span
 
 
+@pytest.mark.parametrize("fan", [2, 3])
+def test_many_levels_of_tables(spark, tmp_path, monkeypatch, fan):
+    """Files of one to hundreds of ranges, one that breaks in the middle, one whose records are longer than ranges."""
+    rng = random.Random(fan)
+    monkeypatch.setattr(rdw, "FAN", fan)
+    logs = {
+        "long.bin": b"".join(framed(rng.randbytes(rng.randint(0, 90))) for _ in range(900)),
+        "mid.bin": b"".join(framed(rng.randbytes(rng.randint(0, 90))) for _ in range(60)),
+        "one.bin": framed(record(1)),
+        "wide.bin": b"".join(framed(rng.randbytes(n)) for n in (65_000, 3, 20_000, 0, 5)),
+    }
+    logs["broken.bin"] = logs["long.bin"][:20_000] + logs["long.bin"]
+    expected = []
+    for name, data in logs.items():
+        write(tmp_path, name, data)
+        expected += brute_force(name, data)
+    assert frames(spark, str(tmp_path), range_bytes=2500) == sorted(expected, key=lambda r: r[:3])
+
+
+def test_a_task_goes_through_few_tables_of_a_file(spark, tmp_path, monkeypatch):
+    """The longest run of neighbours that is composed or followed does not grow with the number of ranges."""
+    monkeypatch.setattr(rdw, "FAN", 4)
+    seen = []
+
+    def watched(nodes, tasks, *first):
+        out = plain(nodes, tasks, *first)
+        group = F.expr("node div 4")
+        kept = nodes.where("leave IS NOT NULL").groupBy("source_file", group).count()
+        seen.append(kept.agg(F.max("count")).first()[0])
+        return out
+
+    plain = rdw._neighbours
+    monkeypatch.setattr(rdw, "_neighbours", watched)
+    path = write(tmp_path, "a.bin", b"".join(framed(record(i)) for i in range(400)))
+    rdw.read_records(spark, path, range_bytes=400).count()
+    assert len(seen) == 2 + 3 and max(seen) <= 4
+
+
+def test_composed_tables_are_the_table_of_the_whole():
+    rng = random.Random(9)
+    data = b"".join(framed(rng.randbytes(rng.randint(0, 300))) for _ in range(1500))
+    half, end = len(data) // 2, len(data) - 40
+    both = rdw._after(rdw._leaves(data[: half + rdw.LONGEST], half), rdw._leaves(data[half:], end - half))
+    whole = rdw._leaves(data, end)
+    alive = whole["broke"] == 0
+    assert (both["frames"] == whole["frames"]).all() and (both["broke"] == whole["broke"]).all()
+    assert (both["past"][alive] == whole["past"][alive]).all()
+
+
 def test_ranges_must_be_whole_blocks(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(rdw, "HASH_BLOCK", 1024)
     path = write(tmp_path, "a.bin", framed(record(1)))
