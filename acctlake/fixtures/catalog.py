@@ -39,6 +39,7 @@ from acctlake.sources import compaction
 from acctlake.sources import dataset as D
 from acctlake.sources.rdw import read_records
 from acctlake.sources.seed import read_seed
+from acctlake.sources.sql import create_functions
 from acctlake.streaming.incremental import ingest_stream, latest_copies
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -862,6 +863,29 @@ def _(spark, sf_dir):
     )
 
 
+@_query("f01_read_smf_sql", f"{_WITH_STORED} SELECT 'smf30' AS table_name, customer, {_SHOWN} FROM stored "
+        f"WHERE year = '1997' AND month = '03' UNION ALL SELECT 'own', customer, {_SHOWN} FROM stored WHERE system_id = 'SYS1'")
+def _(spark, sf_dir):
+    create_functions(spark, _stored(spark, sf_dir))
+    return spark.sql(
+        f"SELECT table_name, customer, {_SHOWN} FROM read_smf('smf30', year => 1997, month => 3) "
+        f"UNION ALL SELECT 'own', customer, {_SHOWN} FROM read_smf30(system => 'SYS1')"
+    )
+
+
+@_query("f01_read_smf_types", "SELECT 'smf70' AS type, CAST(count(*) AS BIGINT) AS n FROM part "
+        "UNION ALL SELECT 'smf113', CAST(count(*) * 2 AS BIGINT) FROM supplier "
+        "UNION ALL SELECT 'smf1154', CAST(count(*) AS BIGINT) FROM orders "
+        "UNION ALL SELECT 'raw', CAST(count(*) AS BIGINT) FROM supplier")
+def _(spark, sf_dir):
+    create_functions(spark, _ingested(spark, sf_dir))
+    return spark.sql(
+        " UNION ALL ".join(
+            f"SELECT '{t}' AS type, count(*) AS n FROM read_smf('{t}')" for t in ("smf70", "smf113", "smf1154", "raw")
+        )
+    )
+
+
 @_query("s11_partition_write", f"{_WITH_STORED} SELECT customer, path_system_id, year, month, {_SHOWN} "
         "FROM stored")
 def _(spark, sf_dir):
