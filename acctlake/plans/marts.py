@@ -163,7 +163,8 @@ def build_marts(spark: SparkSession, smf30: DataFrame, patterns: DataFrame, targ
     """Build and store the models under ``target``, each replacing its last build.
 
     A build is written to a folder of its own, checked there, and only then becomes the current one: the
-    name of its folder is put into ``<target>/CURRENT`` as a whole. If a check fails, the last build stays in use
+    name of its folder is put into ``<target>/CURRENT`` as a whole. The build before it stays until the next one, for readers that
+    have planned on it (``<target>/PREVIOUS`` names it). If a check fails, the last build stays in use
     and the failed one is removed. Every table is written once and the next one reads it back. The fact and the daily aggregate are
     partitioned by year and month, so filters on these read only their folders.
     """
@@ -202,8 +203,11 @@ def build_marts(spark: SparkSession, smf30: DataFrame, patterns: DataFrame, targ
         raise
     last = current_build(target)
     replace_text(f"{target}/CURRENT", build)
-    for old in {last} - {None, build}:
-        remove_tree(f"{target}/{old}")
+    older = read_text(f"{target}/PREVIOUS")
+    if last is not None:
+        replace_text(f"{target}/PREVIOUS", last)
+    if older not in (None, last, build):
+        remove_tree(f"{target}/{older}")
     return {"stg_smf30": staged, **read_marts(spark, target)}
 
 

@@ -194,6 +194,22 @@ def test_a_failed_check_leaves_the_last_build(spark, sf_dir, tmp_path):
     assert fact.where("year = 1996").count() == acct(spark, sf_dir).where("year = 1996").count()
 
 
+def test_a_reader_of_the_last_build_ends_after_the_next(spark, sf_dir, tmp_path):
+    target = tmp_path / "marts"
+    few = acct(spark, sf_dir).where("year = 1996 and month = 3")
+
+    def build():
+        marts.build_marts(spark, few, seed(spark), str(target), check=False)
+        return marts.read_marts(spark, str(target))["fct_job_consumption"], marts.current_build(str(target))
+
+    rows = few.count()
+    (first, a), (second, b) = build(), build()
+    assert first.count() == second.count() == rows
+    _, c = build()
+    assert second.count() == rows
+    assert {p.name for p in target.iterdir() if p.name.startswith("build-")} == {b, c} and a not in (b, c)
+
+
 def test_nothing_built(spark, tmp_path):
     with pytest.raises(ValueError, match="no marts"):
         marts.read_marts(spark, str(tmp_path))
