@@ -1,10 +1,12 @@
 """Main text: whole pages by hand, the given pages against their known form, and broken markup."""
 
 import html
+import random
 import re
+import time
 
 from acctlake.llm.common import table
-from acctlake.llm.html_text import blocks, extract, labels, main_text
+from acctlake.llm.html_text import _inherited, blocks, extract, labels, main_text
 
 PAGE = """<html><head><title>T</title></head><body class="has-sidebar"><div id="header"><b>Site name</b><ul><li><a href=/>Home</a></ul></div>
 <div class="cookie-banner">We use cookies and the like to make it good for you and for the rest of us all.</div>
@@ -51,6 +53,34 @@ def test_given_pages(spark, sf_dir):
         assert row.n_chars == len(row.text) and row.url == pages[row.page_id].url
 
 
+def test_given_pages_without_article(spark, sf_dir):
+    """The rules alone find what the page marks as its article."""
+    for row in table(spark, sf_dir, "pages").collect():
+        assert main_text(re.sub(r"<(/?)(article|main)\b", r"<\1div", row.html)) == main_text(row.html)
+
+
+def test_second_pass_against_nearest_by_distance():
+    rng = random.Random(3)
+    for _ in range(300):
+        first = [rng.choice([True, False, None, None]) for _ in range(rng.randint(1, 12))]
+        heads = [rng.random() < 0.3 for _ in first]
+        decided = [i for i, x in enumerate(first) if x is not None]
+        if not decided:
+            continue
+        for i, (x, got) in enumerate(zip(first, _inherited(first, heads), strict=True)):
+            near = [j for j in decided if abs(i - j) == min(abs(i - k) for k in decided)]
+            assert got == (first[near[-1]] if heads[i] else any(first[j] for j in near)) if x is None else got == x
+
+
+def test_damaged_pages_take_linear_time():
+    n = 100_000
+    began = time.monotonic()
+    for page in ("<div>" * n + "</span>" * n, "<div><a>" * n, "<span>" * n + "</div>" * n, "<div><a>" * n + "</div>" * n):
+        # Text in a link that is never closed is a link.
+        assert main_text(page + "<p>end") == ("" if page.endswith("<a>") else "end")
+    assert time.monotonic() - began < 30
+
+
 def test_open_blocks_take_the_nearest_label():
     good = "the one and the other of the two that was here in the house and at the sea for all of them"
     bad = "<a href=x>" + "link " * 30 + "</a>"
