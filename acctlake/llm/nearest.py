@@ -14,8 +14,9 @@ blocks and ordered queries into chunks, both of a fixed number of rows, and only
 one matrix product in a task and passes on a few rows per query. The work is queries x share x rows, split evenly, whatever
 the data look like. Nothing is collected but one count per part of the range sort.
 
-Defined results. Vectors that are NULL, of length zero, or hold NULL or non-finite components, rows without id, and vectors of
-another dimension than most rows take no part. Rows with the same id and vector count once. With fewer candidates than asked for all are
+Defined results. Vectors that are NULL, of length zero, or hold NULL or non-finite components and rows without id take no part.
+Vectors of each dimension are a table of their own: a cosine needs two of the same one. Before it is squared a vector is divided by the power of two
+next to its largest component, which changes no cosine, so vectors of any length that doubles can hold have one. Rows with the same id and vector count once. With fewer candidates than asked for all are
 returned; a query without any has no rows. Equal scores go to the smaller id. Empty tables give no rows. Other columns are not read.
 """
 
@@ -72,8 +73,13 @@ def hilbert(points: np.ndarray, bits: int) -> np.ndarray:
     return key.astype(np.int64)
 
 
+def scaled(vectors: np.ndarray) -> np.ndarray:
+    """Each row divided by a power of two, so that its largest component is between a half and one; no row is zero."""
+    return np.ldexp(vectors, -np.frexp(np.abs(vectors).max(axis=1, keepdims=True))[1])
+
+
 def curve_keys(vectors: np.ndarray, curve: int) -> np.ndarray:
-    """Hilbert keys of the rows on one curve."""
+    """Hilbert keys of the (scaled) rows on one curve."""
     rng = np.random.default_rng(SEED + curve)
     size = vectors.shape[1]
     directions = rng.standard_normal((size, DIRECTIONS))
@@ -91,64 +97,65 @@ def cosine(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 
 def valid(vectors: DataFrame, vec_id: str, embedding: str) -> DataFrame:
-    """``vec_id, v`` of the rows that take part."""
+    """``vec_id, dim, v`` of the rows that take part."""
     v = F.col(embedding).cast("array<double>")
     bad = F.exists("v", lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
-    square = F.aggregate("v", F.lit(0.0), lambda acc, x: acc + x * x)
     kept = (
         vectors.select(F.col(vec_id).cast("long").alias("vec_id"), v.alias("v"))
         .where(F.col("vec_id").isNotNull() & F.col("v").isNotNull())
-        .where(~bad).where((square > 0) & (square < float("inf")))
+        .where(~bad).where(F.exists("v", lambda x: x != 0))
     )
-    kept = stage(kept.distinct(), "vectors")
-    most = kept.groupBy(F.size("v").alias("n")).agg(F.count("*").alias("rows")).orderBy(F.desc("rows"), "n").first()
-    return kept.where(F.size("v") == (most["n"] if most else 0))
+    return stage(kept.distinct().select("vec_id", F.size("v").alias("dim"), "v"), "vectors")
 
 
 def classes(rows: DataFrame, is_query: Column | str, kept: int) -> DataFrame:
-    """``cls, v, ids, asked``: one row per different vector, with its ``kept`` smallest ids and whether a query has it."""
+    """``cls, dim, v, ids, asked``: one row per different vector, with its ``kept`` smallest ids and whether a query has it."""
     order = F.row_number().over(Window.partitionBy("v").orderBy("vec_id"))
     ids = rows.withColumn("n", order).where(F.col("n") <= kept)
     ids = ids.groupBy("v").agg(F.sort_array(F.collect_list("vec_id")).alias("ids"))
     asked = rows.where(is_query).select("v").distinct().withColumn("asked", F.lit(True))
     return stage(
         ids.join(asked, "v", "left").select(
-            F.col("ids")[0].alias("cls"), "v", "ids", F.coalesce("asked", F.lit(False)).alias("asked")
+            F.col("ids")[0].alias("cls"), F.size("v").alias("dim"), "v", "ids", F.coalesce("asked", F.lit(False)).alias("asked")
         ),
         "classes",
     )
 
 
 def ordered(found: DataFrame, curves: int) -> DataFrame:
-    """``curve, place, cls``: places 0, 1, ... of all classes on each curve."""
+    """``dim, curve, place, cls``: places 0, 1, ... of all classes of a dimension on each curve."""
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            vectors = _matrix(batch.column(1))
-            for curve in range(curves):
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(len(vectors), curve, np.int32)), pa.array(curve_keys(vectors, curve)), batch.column(0)],
-                    ["curve", "key", "cls"],
-                )
-
-    keyed = found.select("cls", "v").mapInArrow(each, "curve int, key long, cls long")
+            dims = batch.column(1).to_numpy()
+            for dim in np.unique(dims):
+                rows = batch.filter(pa.array(dims == dim))
+                vectors = scaled(_matrix(rows.column(2)))
+                for curve in range(curves):
+                    yield pa.RecordBatch.from_arrays(
+                        [rows.column(1), pa.array(np.full(len(vectors), curve, np.int32)),
+                         pa.array(curve_keys(vectors, curve)), rows.column(0)],
+                        ["dim", "curve", "key", "cls"],
+                    )
+
+    keyed = found.select("cls", "dim", "v").mapInArrow(each, "dim int, curve int, key long, cls long")
+    order = ["dim", "curve", "key", "cls"]
     sorted_ = stage(
-        keyed.repartitionByRange("curve", "key", "cls").sortWithinPartitions("curve", "key", "cls")
-        .withColumn("row", F.monotonically_increasing_id()),
+        keyed.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("row", F.monotonically_increasing_id()),
         "ordered",
     )
     part = F.shiftright("row", 33)
-    # One row per curve and part of the sort.
-    firsts = sorted_.groupBy("curve", part.alias("part")).agg(F.count("*").alias("n"), F.min("row").alias("first"))
+    # One row per dimension, curve and part of the sort.
+    firsts = sorted_.groupBy("dim", "curve", part.alias("part")).agg(F.count("*").alias("n"), F.min("row").alias("first"))
     before = firsts.select(
-        "curve", "part", "first",
-        (F.sum("n").over(Window.partitionBy("curve").orderBy("part")) - F.col("n")).alias("before"),
+        "dim", "curve", "part", "first",
+        (F.sum("n").over(Window.partitionBy("dim", "curve").orderBy("part")) - F.col("n")).alias("before"),
     )
+    # Written, so that its size is known and the join can split a part.
+    before = stage(before, "before")
     return (
-        sorted_.withColumn("part", part).join(before, ["curve", "part"])
-        .select("curve", (F.col("before") + F.col("row") - F.col("first")).alias("place"), "cls")
+        sorted_.withColumn("part", part).join(before, ["dim", "curve", "part"])
+        .select("dim", "curve", (F.col("before") + F.col("row") - F.col("first")).alias("place"), "cls")
     )
 
 
@@ -159,37 +166,36 @@ def _matrix(column: pa.Array) -> np.ndarray:
 
 def best_pairs(found: DataFrame, share: float, curves: int, wanted: int) -> DataFrame:
     """``asker, cls, score``: for each asked class the best classes of its windows, with repeats from several curves."""
-    total = found.count()
-    half = max(int(share * total / 2), wanted + SPARE)
-    places = ordered(found, curves).join(found.select("cls", "v", "asked"), "cls")
-    places = stage(places.select("curve", "place", "cls", "v", "asked"), "places")
+    # One row per dimension.
+    sizes = stage(found.groupBy("dim").agg(F.count("*").alias("total")), "sizes")
+    places = ordered(found, curves).join(found.select("cls", "dim", "v", "asked"), ["cls", "dim"])
+    places = stage(places.select("dim", "curve", "place", "cls", "v", "asked"), "places")
 
     row = F.struct("cls", "v")
-    blocks = places.groupBy("curve", F.floor(F.col("place") / BLOCK_ROWS).alias("block")).agg(
+    blocks = places.groupBy("dim", "curve", F.floor(F.col("place") / BLOCK_ROWS).alias("block")).agg(
         F.collect_list(row).alias("rows")
     )
     # Queries in order; the n-th of a curve is counted within cuts of the places, so no curve is sorted in one task.
     asked = places.where("asked").withColumn("cut", F.floor(F.col("place") / (BLOCK_ROWS * 16)))
-    within = F.row_number().over(Window.partitionBy("curve", "cut").orderBy("place"))
+    within = F.row_number().over(Window.partitionBy("dim", "curve", "cut").orderBy("place"))
     asked = asked.withColumn("chunk", F.floor((within - 1) / CHUNK_QUERIES))
-    chunks = asked.groupBy("curve", "cut", "chunk").agg(
+    chunk = ["dim", "curve", "cut", "chunk"]
+    chunks = asked.groupBy(*chunk).agg(
         F.min("place").alias("low"), F.max("place").alias("high"), F.collect_list(row).alias("askers")
     )
+    half = F.greatest(F.floor(F.col("total") * (share / 2)), F.lit(wanted + SPARE))
     first = F.greatest(F.col("low") - half, F.lit(0))
-    last = F.least(F.col("high") + half, F.lit(max(0, total - 1)))
-    pairs = chunks.select(
-        "curve", "cut", "chunk",
-        F.explode(F.sequence(F.floor(first / BLOCK_ROWS), F.floor(last / BLOCK_ROWS))).alias("block"),
-    )
-    joined = pairs.join(chunks.select("curve", "cut", "chunk", "askers"), ["curve", "cut", "chunk"]).join(
-        blocks, ["curve", "block"]
+    last = F.least(F.col("high") + half, F.col("total") - 1)
+    pairs = chunks.join(sizes, "dim").select(
+        *chunk, F.explode(F.sequence(F.floor(first / BLOCK_ROWS), F.floor(last / BLOCK_ROWS))).alias("block")
     )
+    joined = pairs.join(chunks.select(*chunk, "askers"), chunk).join(blocks, ["dim", "curve", "block"])
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for n in range(batch.num_rows):
                 askers, rows = batch.column(0)[n].values, batch.column(1)[n].values
-                a, b = _matrix(askers.field("v")), _matrix(rows.field("v"))
+                a, b = scaled(_matrix(askers.field("v"))), scaled(_matrix(rows.field("v")))
                 ids = rows.field("cls").to_numpy()
                 near = (a / np.linalg.norm(a, axis=1, keepdims=True)) @ (b / np.linalg.norm(b, axis=1, keepdims=True)).T
                 some = min(wanted + SPARE, len(b))
