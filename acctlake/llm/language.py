@@ -202,10 +202,10 @@ def held_out(doc_id: str = "doc_id") -> Column:
     return F.crc32(F.coalesce(F.col(doc_id).cast("string"), F.lit("null"))) % 4 == 2
 
 
-def accepted(score: float = 0.4) -> Column:
-    """Rows of ``predict`` that a corpus keeps: some language holds ``score`` of the text and letters look
-    more like it than like chance."""
-    return (F.col("lang_pred") != UNDETERMINED) & (F.coalesce(F.try_element_at(F.map_values("shares"), F.lit(1)), F.lit(0.0)) >= score) & (F.col("fit") > 0)
+def accepted() -> Column:
+    """Rows of ``predict`` that a corpus keeps: the text has a letter, and the languages found explain its n-grams better than
+    chance. How the text is divided among them does not matter."""
+    return (F.col("lang_pred") != UNDETERMINED) & (F.col("fit") > 0)
 
 
 ship(__name__)

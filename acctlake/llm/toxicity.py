@@ -81,7 +81,7 @@ def vector(text: str | None, places: dict[int, int], known: dict) -> tuple[np.nd
 def labelled_texts(
     docs: DataFrame, labels: DataFrame, label: str = "toxic", doc_id: str = "doc_id", text: str = "text"
 ) -> DataFrame:
-    """``label, text`` of at most ``MAX_LABELLED`` labelled documents."""
+    """``label, text`` of at most ``MAX_LABELLED`` labelled documents; of several texts of one id that with the smallest hash."""
     best = (
         labels.select(F.col(doc_id).alias("id"), F.col(label).cast("int").alias("label"))
         .where("id is not null and label is not null")
@@ -91,7 +91,9 @@ def labelled_texts(
     texts = docs.select(F.col(doc_id).alias("id"), F.col(text).cast("string").alias("text"))
     # Bounded by MAX_LABELLED rows of two numbers.
     joined = texts.join(F.broadcast(best), "id")
-    return stage(joined.select("label", "text"), "labelled")
+    # Repeats of an id are combined before the shuffle, so an id that very many rows have is no more than one row a task.
+    one = joined.groupBy("id", "label").agg(F.min(F.struct(F.xxhash64("text").alias("h"), "text")).alias("x"))
+    return stage(one.select("label", "x.text"), "labelled")
 
 
 def choose_features(labelled: DataFrame) -> tuple[dict[int, int], np.ndarray]:

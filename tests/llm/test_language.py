@@ -1,5 +1,7 @@
 """Language inference: held-out accuracy, mixtures, and the algorithm on plain numbers."""
 
+import itertools
+
 import numpy as np
 
 from acctlake.llm import language as L
@@ -50,6 +52,33 @@ def test_mixture_finds_shares():
     assert np.allclose(shares, [0.3, 0.7], atol=0.02)
 
 
+def test_chosen_set_against_all_subsets(spark):
+    texts = {"en": "the cat and the dog were there with them that night ", "de": "der hund und die katze sind noch immer nicht zuhause ",
+             "fr": "le chat est dans une maison avec ses autres amis "}
+    model = L.train(spark.createDataFrame([(t * 20, n) for n, t in texts.items()], "text string, lang string"))
+    for names in ([n for n in texts], ["en"], ["de", "fr"], ["fr", "en"]):
+        text = "".join(texts[n] * 8 for n in names)
+        bins, times = L.grams(L.letters(text))
+        likelihood = np.exp(model.logs[:, bins].astype(np.float64))
+        worth = {}
+        for size in (1, 2, 3):
+            for some in itertools.combinations(range(3), size):
+                shares = np.full(size, 1 / size)
+                for _ in range(2000):
+                    mixed = shares @ likelihood[list(some)]
+                    shares = shares * (likelihood[list(some)] @ (times / mixed)) / times.sum()
+                value = float(times @ np.log(shares @ likelihood[list(some)]))
+                worth[some] = value - (size - 1) * L.PENALTY * np.log(times.sum() + 1), shares
+        best = max(worth, key=lambda s: worth[s][0])
+        guess = L.infer(text, model)
+        assert set(guess.shares) == {model.languages[i] for i in best} == set(names)
+        for i, share in zip(best, worth[best][1], strict=True):
+            assert abs(guess.shares[model.languages[i]] - share) < 0.05
+    # A third of the text in each language is no reason to reject it.
+    mixed = spark.createDataFrame([("".join(t * 8 for t in texts.values()),)], "text string")
+    assert L.predict(mixed, model, ()).where(L.accepted()).count() == 1
+
+
 def test_edges(spark):
     rows = [(1, "the cat and the dog were there " * 5, "en"), (2, "der hund und die katze sind da " * 5, "de"),
             (3, None, "en"), (4, "", "en"), (5, "12 -- 34", None), (None, "the dog", None), (1, "the cat", "en")]
