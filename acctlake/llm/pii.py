@@ -11,7 +11,8 @@ there is no shuffle, and no document depends on another. Positions are running s
 matches. The patterns are written so that no text makes them backtrack without end: quantifiers are possessive where the
 pattern allows it, and a match can only begin where a run of characters does.
 
-The trees are fitted on about ``TRAINING_DOCS`` documents, chosen by a hash of their text (a documented bound); everything else covers all.
+The trees are fitted on about ``TRAINING_DOCS`` different texts, chosen by their hash (a documented bound); thresholds come from all documents that
+were not fitted on, and everything else covers all.
 
 Defined results. NULL text: no spans. Positions are code points, ends exclusive. Repeated rows each get the same result. If there is nothing to learn from (no base spans
 or nothing that fails a check), nothing is added. Empty tables give no rows. Other columns are not read.
@@ -20,11 +21,10 @@ or nothing that fails a check), nothing is added. Empty tables give no rows. Oth
 from __future__ import annotations
 
 from collections.abc import Callable
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -53,6 +53,7 @@ WIDE = {
 #: A text without any of these has no candidates.
 SIGNS = rf"[0-9@]|[(\[{{<]\x20?at\x20?[)\]}}>]|\x20dot\x20"
 SPANS = "array<struct<kind:string,m:string,start:int,end:int,before:string,after:string>>"
+ADDED = "struct<start:int,kind:int,end:int,score:double>"
 #: Words near a span that speak for a kind.
 CONTEXT_WORDS = {
     "mail_word": r"(?i)mail|contact|write|correo|courriel|kontakt",
@@ -62,8 +63,6 @@ CONTEXT_WORDS = {
 }
 CHUNK = 128
 BEFORE, AFTER = 32, 12
-#: Candidates of different kinds that can overlap lie so close in the order of starts.
-NEIGHBOURS = 16
 TRAINING_DOCS = 40_000
 TREES, DEPTH = 12, 4
 PRECISION = 0.9
@@ -254,26 +253,32 @@ class Model:
 NOTHING = Model([], [], dict.fromkeys(KINDS, 2.0))
 
 
+def _labelled(texts: DataFrame, t: Column) -> DataFrame:
+    """``label, s``: base spans (1) and candidates that fail a check of their kind (0)."""
+    return texts.select(F.explode(F.concat(
+        F.transform(base_spans(t), lambda s: F.struct(F.lit(1.0).alias("label"), s.alias("s"))),
+        F.transform(
+            F.array_distinct(F.concat(F.filter(wide_spans(_masked(t)), failing), invalid_spans(t))),
+            lambda s: F.struct(F.lit(0.0).alias("label"), s.alias("s")),
+        ),
+    )).alias("x")).select("x.label", "x.s")
+
+
 def train(docs: DataFrame, text: str = "text") -> Model:
+    """Trees fitted on at most about ``TRAINING_DOCS`` different texts; thresholds from all documents that were not fitted on."""
     total = docs.count()
     share = min(1.0, TRAINING_DOCS / max(1, total))
     chosen = F.xxhash64(F.lit(SEED), "t")
     part = chosen.bitwiseAND(F.lit((1 << 30) - 1))
-    sample = docs.select(F.col(text).cast("string").alias("t")).where("t is not null").where(part < int(share * (1 << 30)))
-    spans = sample.select(
-        (F.shiftrightunsigned(chosen, 40) % 4 == 0).alias("held"),
-        F.explode(F.concat(
-            F.transform(base_spans(F.col("t")), lambda s: F.struct(F.lit(1.0).alias("label"), s.alias("s"))),
-            F.transform(
-                F.array_distinct(F.concat(F.filter(wide_spans(_masked(F.col("t"))), failing), invalid_spans(F.col("t")))),
-                lambda s: F.struct(F.lit(0.0).alias("label"), s.alias("s")),
-            ),
-        )).alias("x"),
-    ).select("held", F.col("x.label").alias("label"), F.col("x.s").alias("s"))
-    spans = stage(spans, "spans")
+    held = F.shiftrightunsigned(chosen, 40) % 4 == 0
+    in_sample = part < int(share * (1 << 30))
+    texts = docs.select(F.col(text).cast("string").alias("t")).where("t is not null")
+    sample = texts.where(in_sample)
+    # A text that very many rows share is one text to learn from.
+    sample = sample.distinct()
+    spans = stage(_labelled(sample.where(~held), F.col("t")), "spans")
     found = features(F.col("s"))
-    rows = stage(spans.select("held", "label", *[c.alias(n) for n, c in found.items()]), "features").coalesce(4)
-    learned = rows.where(~F.col("held"))
+    learned = stage(spans.select("label", *[c.alias(n) for n, c in found.items()]), "features").coalesce(4)
     if learned.select("label").distinct().count() < 2:
         return NOTHING
     vectors = VectorAssembler(inputCols=list(found), outputCol="features")
@@ -282,10 +287,12 @@ def train(docs: DataFrame, text: str = "text") -> Model:
     )
     names = list(found)
     trees = [_tree(t._java_obj.rootNode(), names) for t in fitted.trees]
-    scored = fitted.transform(vectors.transform(rows.where("held")))
+    model = Model(trees, list(fitted.treeWeights), {})
+    others = _labelled(texts.where(~in_sample | held), F.col("t"))
+    number = F.array_position(F.array(*map(F.lit, KINDS)), F.col("s.kind")).cast("int")
     # Whole thousandths: at most 1001 rows per kind.
     bins = (
-        scored.select("kind", "label", F.floor(vector_to_array("probability")[1] * 1000).alias("bin"))
+        others.select(number.alias("kind"), "label", F.floor(score(F.col("s"), model) * 1000).alias("bin"))
         .groupBy("kind", "bin").agg(F.sum("label").alias("right"), F.count("*").alias("all"))
         .collect()
     )
@@ -297,7 +304,7 @@ def train(docs: DataFrame, text: str = "text") -> Model:
             right, every = right + row["right"], every + row["all"]
             if right / every >= PRECISION:
                 thresholds[kind] = row["bin"] / 1000
-    return Model(trees, list(fitted.treeWeights), thresholds)
+    return replace(model, thresholds=thresholds)
 
 
 def _tree(node, names: list[str]):
@@ -327,9 +334,10 @@ def score(s: Column, model: Model) -> Column:
 
 
 def added_spans(text: Column, model: Model) -> Column:
-    """Candidates above the threshold of their kind; of overlapping ones the best, by kind and start if equal."""
+    """Candidates above the threshold of their kind. From left to right, of two that overlap the better one stays, that of the
+    first kind and start if equal; so no two of the result overlap, however many a text has."""
     if not model.trees:
-        return F.array().cast("array<struct<start:int,kind:int,end:int,score:double>>")
+        return F.array().cast(f"array<{ADDED}>")
     limits = F.create_map(*[F.lit(x) for kv in model.thresholds.items() for x in kv])
     judged = F.transform(
         wide_spans(_masked(text)),
@@ -343,18 +351,20 @@ def added_spans(text: Column, model: Model) -> Column:
         lambda s: F.struct(s["start"].alias("start"), s["kind"].alias("kind"), s["end"].alias("end"), s["score"].alias("score")),
     ))
 
-    def best(every: Column) -> Column:
-        def stays(s: Column, i: Column) -> Column:
-            low = F.greatest(i - NEIGHBOURS + 1, F.lit(1))
-            near = F.slice(every, low, F.lit(2 * NEIGHBOURS))
-            return ~F.exists(near, lambda o: (
-                (o["start"] < s["end"]) & (s["start"] < o["end"])
-                & ((o["score"] > s["score"]) | ((o["score"] == s["score"]) & (F.struct(o["kind"], o["start"]) < F.struct(s["kind"], s["start"]))))
-            ))
-
-        return F.filter(every, stays)
+    def step(acc: Column, s: Column) -> Column:
+        last = acc["last"]
+        apart = last.isNull() | (last["end"] <= s["start"])
+        better = (s["score"] > last["score"]) | (
+            (s["score"] == last["score"]) & (F.struct(s["kind"], s["start"]) < F.struct(last["kind"], last["start"]))
+        )
+        return F.struct(
+            F.when(apart & last.isNotNull(), F.concat(acc["done"], F.array(last))).otherwise(acc["done"]).alias("done"),
+            F.when(apart | better, s).otherwise(last).alias("last"),
+        )
 
-    return let(passed, best)
+    # What stays ends before all that comes, whose starts are in order; only the last one can overlap.
+    start = F.struct(F.array().cast(f"array<{ADDED}>").alias("done"), F.lit(None).cast(ADDED).alias("last"))
+    return F.aggregate(passed, start, step, lambda acc: F.concat(acc["done"], F.filter(F.array(acc["last"]), lambda x: x.isNotNull())))
 
 
 def find(docs: DataFrame, model: Model, doc_id: str = "doc_id", text: str = "text") -> DataFrame:

@@ -142,3 +142,16 @@ def test_plan_has_no_python(spark, trained):
     model, frame = trained
     plan = P.digest(P.find(frame, model))._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Pandas|Arrow|Exchange", plan)
+
+
+def test_overlaps_without_limit(spark):
+    model = P.Model([1.0], [1.0], {k: 0.0 for k in P.KINDS})
+    rng = random.Random(5)
+    numbers = ["".join(rng.choice("123456789") for _ in range(9)) for _ in range(60)]
+    long = "_".join(numbers) + " at example.com"
+    rows = [(1, long), (2, "call " + " and ".join(numbers)), (3, " ".join([long] * 200))]
+    for r in P.find(spark.createDataFrame(rows, "doc_id long, text string"), model).collect():
+        spans = sorted((s.start, s.end) for s in r.added)
+        assert spans and all(a[1] <= b[0] for a, b in zip(spans, spans[1:]))
+        if r.doc_id == 1:
+            assert spans == [(0, len(long))]
