@@ -12,8 +12,8 @@ NO_PROGRAM = "(none)"
 
 def sanitize(name: Column) -> Column:
     """A name safe for a directory: other characters become ``_``, nothing becomes ``UNKNOWN``."""
-    safe = F.regexp_replace(name, "[^A-Za-z0-9]", "_")
-    return F.when(F.coalesce(safe, F.lit("")) == "", F.lit("UNKNOWN")).otherwise(safe)
+    given = F.when(F.coalesce(name, F.lit("")) == "", F.lit("UNKNOWN")).otherwise(name)
+    return F.regexp_replace(given, "[^A-Za-z0-9]", "_")
 
 
 def label(name: Column, when_empty: str) -> Column:
@@ -40,9 +40,12 @@ def glob_match(name: Column, pattern: Column) -> Column:
 
 def date_parts(date: Column) -> dict[str, Column]:
     """Year and month as directory text, and the two written forms of a day."""
+    year = F.year(date)
+    # Formatting a date takes many times as long as its number; only other years need it.
+    plain = F.when(year.between(1, 9999), F.lpad(year.cast("string"), 4, "0"))
     return {
-        "year": F.date_format(date, "yyyy"),
-        "month": F.date_format(date, "MM"),
+        "year": F.coalesce(plain, F.date_format(date, "yyyy")),
+        "month": F.lpad(F.month(date).cast("string"), 2, "0"),
         "day_text": F.date_format(date, "yyyyMMdd"),
         "iso_text": F.date_format(date, "yyyy-MM-dd"),
     }

@@ -267,21 +267,30 @@ def create_views(spark: SparkSession, root: str | None = None) -> list[str]:
     return made
 
 
-#: Customer, system, year and month as they stand in a file path, with or without ``key=``.
-PATH_PATTERN = r"(?:[^/=]+=)?([^/]+)/(?:[^/=]+=)?([^/]+)/year=([^/]+)/month=([^/]+)/"
+#: Customer, system, year and month as they stand in a file path, with or without ``key=``. Names are whole (possessive) and begin at
+#: a slash: a search from each letter, with all ways back, costs the square of the path.
+PATH_PATTERN = r"(?:^|/)([^/]++/[^/]++/year=[^/]++/month=[^/]++)/"
 
 
-def path_dimensions(path: Column) -> dict[str, Column]:
-    """Customer, system, year and month out of a file path; '' or NULL where it has none."""
+def path_parts(path: Column) -> Column:
+    """The four parts of a file path that :func:`path_dimensions` reads, as an array; [''] where it has none."""
+    return F.split(F.regexp_extract(F.url_decode(path), PATH_PATTERN, 1), "/")
 
-    def group(i: int) -> Column:
-        return F.regexp_extract(F.url_decode(path), PATH_PATTERN, i)
+
+def path_dimensions(parts: Column) -> dict[str, Column]:
+    """Customer, system, year and month out of :func:`path_parts`; '' or NULL where the path has none."""
+
+    def part(i: int) -> Column:
+        return F.coalesce(F.get(parts, F.lit(i)), F.lit(""))
+
+    def value(i: int) -> Column:
+        return F.regexp_extract(part(i), "^(?:[^=]++=)?([^/]++)$", 1)
 
     return {
-        "customer": group(1),
-        "path_system_id": group(2),
-        "year": group(3).try_cast("int"),
-        "month": group(4).try_cast("int"),
+        "customer": value(0),
+        "path_system_id": value(1),
+        "year": F.substring(part(2), 6, 1 << 30).try_cast("int"),
+        "month": F.substring(part(3), 7, 1 << 30).try_cast("int"),
     }
 
 
@@ -298,8 +307,9 @@ def read_nested(spark: SparkSession, root: str, type_prefix: str) -> DataFrame:
         .parquet(root)
     )
     path = F.col("_metadata.file_path")
-    dims = path_dimensions(path)
+    dims = path_dimensions(F.col("parts__path"))
     stored = [c for c in rows.columns if c not in dims and c != "filename"]
-    return rows.select(
-        *[value.alias(name) for name, value in dims.items()], path.alias("filename"), *stored
+    # The path is searched once a row, and all four values are read from what was found.
+    return rows.select("*", path.alias("path__path"), path_parts(path).alias("parts__path")).select(
+        *[value.alias(name) for name, value in dims.items()], F.col("path__path").alias("filename"), *stored
     )
