@@ -33,7 +33,10 @@ BLOCK_ROWS = 128
 
 def number(value: str | Column, width: int) -> Column:
     column = F.expr(value) if isinstance(value, str) else value
-    digits = F.conv(column.cast("decimal(20,0)").cast("string"), 10, 16)
+    if width < 8:
+        digits = F.hex(column.cast("bigint"))
+    else:
+        digits = F.conv(column.cast("decimal(20,0)").cast("string"), 10, 16)
     return F.lpad(digits, 2 * width, "0")
 
 
@@ -200,10 +203,13 @@ def record_header(record_type: int, subtype: str | int, subsystem: str = "JES2")
     )
 
 
-def finish(record: Column) -> Column:
-    """Fill in the length and turn the text into bytes."""
-    length = F.lpad(F.hex((F.length(record) / F.lit(2)).cast("bigint")), 4, "0")
-    return F.unhex(F.replace(record, F.lit("____"), length))
+def finish(header: Column, *rest: Column) -> Column:
+    """Fill the length into the header and turn the text into bytes; what follows the header is not searched."""
+    # Digits are single bytes, and characters would be counted one by one.
+    digits = sum((F.octet_length(part) for part in rest), F.octet_length(header))
+    length = F.lpad(F.hex((digits / F.lit(2)).cast("bigint")), 4, "0")
+    filled = F.unhex(F.replace(header, F.lit("____"), length))
+    return F.concat(filled, *[F.unhex(part) for part in rest])
 
 
 def _product() -> Column:
@@ -229,16 +235,17 @@ def encode(rows: DataFrame, spec: Spec) -> DataFrame:
     }
     widths = {k: sum(r.width for r in s) for k, s in enumerate(spec.sections) if isinstance(s, tuple)}
     if spec.repeated:
-        # A record takes at most the rows of one block, however often a key occurs.
+        # A record takes at most the rows of one block, however often a key occurs. The text of a row is made beside the block number,
+        # in generated code: what an aggregate collects is computed call by call.
         packed = (
-            rows.withColumn("_block", F.expr(f"monotonically_increasing_id() div {BLOCK_ROWS}"))
+            rows.select(
+                *keys, F.expr(f"monotonically_increasing_id() div {BLOCK_ROWS}").alias("_block"),
+                *[runs[k].alias(f"_e{k}") for k in spec.repeated],
+            )
             .groupBy(*keys, "_block")
             .agg(
                 F.count(F.lit(1)).alias("_rows"),
-                *[
-                    F.array_join(F.collect_list(runs[k]), "").alias(f"_e{k}")
-                    for k in spec.repeated
-                ],
+                *[F.array_join(F.collect_list(f"_e{k}"), "").alias(f"_e{k}") for k in spec.repeated],
             )
         )
         runs |= {k: F.col(f"_e{k}") for k in spec.repeated}
@@ -265,8 +272,8 @@ def encode(rows: DataFrame, spec: Spec) -> DataFrame:
         small = 2 if spec.compact else 4
         directory.append(F.concat(number(at, 4), number(length, small), number(count, small)))
         data.append(content)
-        at = at + (F.length(content) / F.lit(2)).cast("bigint")
-    return packed.select(finish(F.concat(header, filler(spec.lead), *directory, *data)).alias("body"))
+        at = at + (F.octet_length(content) / F.lit(2)).cast("bigint")
+    return packed.select(finish(header, F.concat(filler(spec.lead), *directory, *data)).alias("body"))
 
 
 def encode_nested(rows: DataFrame, spec: Spec) -> DataFrame:
@@ -278,14 +285,13 @@ def encode_nested(rows: DataFrame, spec: Spec) -> DataFrame:
     common_at, outer_at = 32 + 24, 32 + 24 + 64
     entry_at = outer_at + 4 + 12
     body = F.concat(
-        record_header(spec.record_type, spec.subtype),
         F.lit(f"{common_at:08X}{64:08X}{1:08X}{outer_at:08X}{128:08X}{1:08X}"),
         F.concat(*[r.encoded() for r in common]),
         F.lit(f"{1:08X}{entry_at:08X}{width:08X}{1:08X}"),
         entry_hex,
         filler(128 - 16 - width),
     )
-    return rows.select(finish(body).alias("body"))
+    return rows.select(finish(record_header(spec.record_type, spec.subtype), body).alias("body"))
 
 
 # -- binary files --------------------------------------------------------------------------------

@@ -23,6 +23,9 @@ def source_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def spec_records(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     spec = SPECS[table]
     rows = source_table(spark, sf_dir, spec.source)
+    if not spec.repeated:
+        # A few compressed megabytes are millions of rows: tasks are made by the bytes of rows, not of files.
+        rows = rows.hint("rebalance")
     nested = L.BY_TABLE[table].nested_in is not None
     return E.encode_nested(rows, spec) if nested else E.encode(rows, spec)
 
