@@ -87,6 +87,16 @@ def _content_hash(data: bytes, start: int, size: int) -> tuple[int, int]:
     return high, low
 
 
+def _stream_hash(stream, start: int, end: int) -> str:
+    """Hash of a whole file, or of a range, read block by block."""
+    high = low = 0
+    for at in range(start, end, HASH_BLOCK):
+        size = min(HASH_BLOCK, end - at)
+        block_high, block_low = _content_hash(stream.read_at(size, at), at, size)
+        high, low = high ^ block_high, low ^ block_low
+    return _hash_text(high, low)
+
+
 def _hash_text(high: int, low: int) -> str:
     return struct.pack(">qq", high, low).hex().upper()
 
@@ -293,41 +303,45 @@ def _bodies(data: np.ndarray, bounds: np.ndarray) -> pa.Array:
 
 
 def _emit_frames(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The records of each range, in batches of about ``BATCH_BYTES``."""
+    """The records of each range, in batches of about ``BATCH_BYTES``; no more of a range is held at a time."""
     for batch in batches:
         for row in batch.to_pylist():
-            start = row["range_start"]
-            end = min(start + row["range_bytes"], row["length"])
-            data = _load(row["source_file"], start, end)
-            file_hash = row["file_hash"] or _hash_text(*_content_hash(data, start, end - start))
-            starts, stop, error = _walk(data, row["entry"] - start, end - start)
-            octets = np.frombuffer(data, dtype=np.uint8)
-            bounds = np.array([*starts, stop], dtype=np.int64)
-            sequence, first = row["first_seq"], 0
-            while first < len(starts):
-                full = np.searchsorted(bounds, bounds[first] + BATCH_BYTES, side="right") - 1
-                last = int(min(max(full, first + 1), len(starts), first + BATCH_ROWS))
-                at = bounds[first:last]
-                segmented = (octets[at + 2] | octets[at + 3]) != 0
-                yield _frame_batch(
-                    row,
-                    sequence,
-                    pa.array(at + start),
-                    _bodies(octets, bounds[first : last + 1]),
-                    pc.if_else(pa.array(segmented), SEGMENTED, pa.scalar(None, pa.string())),
-                    file_hash,
-                )
-                sequence += last - first
-                first = last
-            if error is not None:
-                yield _frame_batch(
-                    row,
-                    sequence,
-                    pa.array([start + stop], pa.int64()),
-                    pa.array([None], pa.binary()),
-                    pa.array([error], pa.string()),
-                    file_hash,
-                )
+            position, sequence = row["entry"], row["first_seq"]
+            end = min(row["range_start"] + row["range_bytes"], row["length"])
+            filesystem, inner = locate(row["source_file"])
+            with filesystem.open_input_file(inner) as stream:
+                file_hash = row["file_hash"] or _stream_hash(stream, row["range_start"], end)
+                while position < end:
+                    span = min(BATCH_BYTES, end - position)
+                    # Room for the record that crosses the end of the piece.
+                    data = stream.read_at(span + LONGEST, position)
+                    starts, stop, error = _walk(data, 0, span)
+                    octets = np.frombuffer(data, dtype=np.uint8)
+                    bounds = np.array([*starts, stop], dtype=np.int64)
+                    for first in range(0, len(starts), BATCH_ROWS):
+                        last = min(first + BATCH_ROWS, len(starts))
+                        at = bounds[first:last]
+                        segmented = (octets[at + 2] | octets[at + 3]) != 0
+                        yield _frame_batch(
+                            row,
+                            sequence,
+                            pa.array(at + position),
+                            _bodies(octets, bounds[first : last + 1]),
+                            pc.if_else(pa.array(segmented), SEGMENTED, pa.scalar(None, pa.string())),
+                            file_hash,
+                        )
+                        sequence += last - first
+                    position += stop
+                    if error is not None:
+                        yield _frame_batch(
+                            row,
+                            sequence,
+                            pa.array([position], pa.int64()),
+                            pa.array([None], pa.binary()),
+                            pa.array([error], pa.string()),
+                            file_hash,
+                        )
+                        break
 
 
 # -- plans ---------------------------------------------------------------------------------------

@@ -237,3 +237,43 @@ def test_any_log(spark, tmp_path_factory, sizes, tail, range_bytes, seed):
     data = b"".join(framed(rng.randbytes(n), rng.choice([0, 0, 0, 256])) for n in sizes) + tail
     folder = write(tmp_path_factory.mktemp("any"), "any.bin", data)
     assert frames(spark, folder, range_bytes=range_bytes) == brute_force("any.bin", data)
+
+
+def test_a_range_is_read_in_pieces(monkeypatch, tmp_path):
+    # Cut after 10, 1 000 and all bytes at a time: the same records, however the pieces fall.
+    rng = random.Random(4)
+    data = b"".join(framed(finish(header(30, 4) + bytes(rng.randrange(200)))) for _ in range(300)) + b"\0\3\0\0"
+    write(tmp_path, "a.bin", data)
+    row = {"source_file": str(tmp_path / "a.bin"), "length": len(data), "range_no": 0, "entry": 0, "first_seq": 0,
+           "file_hash": None, "range_bytes": 1 << 20, "range_start": 0}
+    class Read:
+        def __init__(self, stream):
+            self.stream = stream
+
+        def __enter__(self):
+            return self
+
+        def __exit__(self, *problem):
+            self.stream.close()
+
+        def read_at(self, size, at):
+            longest.append(size)
+            return self.stream.read_at(size, at)
+
+    class Files:
+        def open_input_file(self, path):
+            return Read(open_file(path))
+
+    files, _ = rdw.locate(row["source_file"])
+    open_file = files.open_input_file
+    monkeypatch.setattr(rdw, "locate", lambda path: (Files(), path))
+    seen = []
+    for piece in (10, 1000, 1 << 20):
+        longest = []
+        monkeypatch.setattr(rdw, "BATCH_BYTES", piece)
+        got = [r for b in rdw._emit_frames([rdw.pa.RecordBatch.from_pylist([row])]) for r in b.to_pylist()]
+        assert [(r["record_seq"], r["byte_offset"], r["body"], r["error"]) for r in got] == [
+            (seq, at, body, error) for _, seq, at, body, error in brute_force("a.bin", data)]
+        assert max(longest) <= piece + rdw.LONGEST
+        seen.append({r["file_hash"] for r in got})
+    assert seen[0] == seen[1] == seen[2] and len(seen[0]) == 1
