@@ -10,8 +10,8 @@ Rows keep the run they came from: merged files have it as ``origin_run`` and rea
 are merged, for those have ended; a run that comes late is read beside the merged rows and goes into the next compaction. A run must
 not be repeated under its name once its month is compacted: it is in the manifest as replaced, and its new folder would not count.
 
-Scale. Rows are moved once, with a rebalance by customer, system and month: a hot system is cut into files of the wanted size and small
-ones share a task. Checks count rows per run out of the files' footers.
+Scale. Rows are moved once, with a rebalance by customer, system and month: a hot system is cut into files of the wanted size, or of what
+one task can sort in memory if that is less, and small ones share a task. Checks count rows per run out of the files' footers.
 """
 
 from __future__ import annotations
@@ -31,12 +31,20 @@ from acctlake.sources import manifest as M
 
 #: Size of a merged file, and by how much rows in a shuffle are larger than in such a file (measured on given tables: 2 to 4 times).
 FILE_BYTES, LARGER = 128 << 20, 3
+#: A task sorts its rows, which take up to 20 times their bytes in a shuffle (measured on given tables: 18 and 19 times), so it gets
+#: no more than this. Folders that are smaller still have one file; larger ones have several, of about a quarter of this size (measured).
+TASK_BYTES = 64 << 20
 #: How long folders are kept after they stopped to count: longer than any reader runs, in seconds.
 RETENTION = 7 * 24 * 3600.0
 #: Folders that are removed at the same time.
 REMOVERS = 16
 
 
+def task_bytes(file_bytes: int) -> int:
+    """Bytes of a shuffle that one task sorts and writes."""
+    return min(file_bytes * LARGER, TASK_BYTES)
+
+
 @contextmanager
 def _settings(spark: SparkSession, settings: dict[str, str]) -> Iterator[None]:
     before = {k: spark.conf.get(k, None) for k in settings}
@@ -98,7 +106,7 @@ def compact(spark: SparkSession, root: str, table: str, months: Sequence[tuple[i
     order = [c for c in ("table_name", *D.PARTITIONS, "smf_timestamp") if c in moved.columns]
     moved = D.clustered(moved, "customer", "path_system_id", "year", "month").sortWithinPartitions(*order)
     sizes = {
-        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(file_bytes * LARGER),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(task_bytes(file_bytes)),
         "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
     }
     published = False

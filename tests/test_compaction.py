@@ -133,3 +133,9 @@ def test_header_only_tables_and_tables_without_months(spark, tmp_path):
     for table in ("smf99-1", "smf72-1"):
         assert sorted(r.run_id for r in D.read_table(spark, root, table).collect()) == ["R0", "R1", "R2"]
     assert len(files_read(spark, root, "smf99-1")) == 1 and len(files_read(spark, root, "smf72-1")) >= 3
+
+
+def test_a_task_sorts_a_bounded_part():
+    # Rows took 20 times their shuffled bytes in the sort: tasks of 384 MB needed more than an executor has.
+    assert 20 * C.task_bytes(C.FILE_BYTES) < 3600 << 20
+    assert C.task_bytes(1000) == 1000 * C.LARGER
