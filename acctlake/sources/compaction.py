@@ -31,7 +31,7 @@ from acctlake.sources import manifest as M
 
 #: Size of a merged file, and by how much rows in a shuffle are larger than in such a file (measured on given tables: 2 to 4 times).
 FILE_BYTES, LARGER = 128 << 20, 3
-#: A task sorts its rows, which take up to 20 times their bytes in a shuffle (measured on given tables: 18 and 19 times), so it gets
+#: A task sorts its rows, which take some 25 times their bytes in a shuffle (measured on given tables: 18 to 24 times), so it gets
 #: no more than this. Folders that are smaller still have one file; larger ones have several, of about a quarter of this size (measured).
 TASK_BYTES = 64 << 20
 #: How long folders are kept after they stopped to count: longer than any reader runs, in seconds.
