@@ -1,7 +1,7 @@
 """Turn routed records into the rows of one table, driven by its layout.
 
-Headers and values of the whole record are built-in column expressions, computed once per record. Repeated
-sections become rows in :mod:`acctlake.operators.entries`; the record itself is not handed on, so rows stay
+Headers are built-in column expressions; values of the record and the entries of its row section are read in
+:mod:`acctlake.operators.entries`, for a batch of records at a time. The record itself is not handed on, so rows stay
 narrow. There is no shuffle from record to row.
 """
 
@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from acctlake.functions import binary as B
 from acctlake.operators import layouts as L
-from acctlake.operators.entries import section_rows
+from acctlake.operators.entries import layout_rows
 from acctlake.operators.sections import (
     Section,
     directory_entry,
@@ -23,25 +23,6 @@ from acctlake.operators.sections import (
 _HEADER = [name for name in L.COMMON_COLUMNS if name != "ingest_ts"]
 
 
-def _read(kind: str, body: Column, start: Column, field: L.Field, end: Column) -> Column:
-    at = start + F.lit(field.offset)
-    if kind == "text":
-        return B.text(body, at, field.width, end)
-    if kind == "hex":
-        return B.hex_text(body, at, field.width, end)
-    return {
-        "u8": lambda: B.u8(body, at, end),
-        "u16": lambda: B.u16(body, at, end),
-        "u32": lambda: B.u32(body, at, end),
-        "u64": lambda: B.u64(body, at, end),
-        "hexfloat": lambda: B.hexfloat(body, at, end),
-        "seconds": lambda: B.seconds(B.u32(body, at, end)),
-        "seconds64": lambda: B.seconds(B.u64(body, at, end).cast("double")),
-        "millis": lambda: B.millis(B.u32(body, at, end)),
-        "flag": lambda: B.flag(body, at, end),
-    }[kind]()
-
-
 def _entry_numbers(count: Column) -> Column:
     """0 .. count-1, and no entries for a count of 0 (``sequence(0, -1)`` would count down)."""
     return F.when(count > 0, F.sequence(F.lit(0).cast("long"), count - F.lit(1))).otherwise(
@@ -57,47 +38,6 @@ def counter_list(body: Column, section: Section) -> Column:
     )
 
 
-def _processors(body: Column, section: Section) -> Column:
-    """The processor section as array of struct(kind, wait, parked)."""
-
-    def processor(i: Column) -> Column:
-        start, end = section.entry_start(i), section.entry_end(body, i)
-        parked = L.CPU_ENTRY["parked"]
-        return F.struct(
-            B.uint(body, start + F.lit(L.CPU_ENTRY["type"]), 1, end).alias("kind"),
-            B.u32(body, start + F.lit(L.CPU_ENTRY["wait"]), end).alias("wait"),
-            (
-                F.lit(0).cast("long") if parked is None else B.u32(body, start + F.lit(parked), end)
-            ).alias("parked"),
-        )
-
-    return F.transform(_entry_numbers(section.count), processor)
-
-
-def _roll_up(field: L.Field, processors: Column) -> Column:
-    """Count of, or summed milliseconds over, the processors of one type in a record."""
-    if "parked" in field.name and L.CPU_ENTRY["parked"] is None:
-        # No offset is published: unknown, not zero.
-        return F.lit(None).cast("long")
-    chosen = F.filter(processors, lambda p: p["kind"] == F.lit(field.code))
-    if field.kind == "cpu_count":
-        return F.size(chosen).cast("long")
-    part = "parked" if "parked" in field.name else "wait"
-    total = F.aggregate(chosen, F.lit(0).cast("long"), lambda acc, p: acc + p[part])
-    return B.millis(total)
-
-
-def _interval(body: Column, product: Section) -> dict[str, Column]:
-    start, end = product.offset, product.entry_end(body, F.lit(0))
-    at = {name: start + F.lit(pos) for name, pos in L.PRODUCT.items()}
-    return {
-        L.START: B.day_time(B.packed_date(body, at["date"], end), B.u32(body, at["time"], end)),
-        L.SPAN: B.millis(B.u32(body, at["interval"], end)),
-        L.SAMPLES: B.u16(body, at["samples"], end),
-        L.PLEX: B.text(body, at["sysplex"], L.PRODUCT["sysplex_width"], end),
-    }
-
-
 def sections_of(records: DataFrame, layout: L.Layout) -> DataFrame:
     """Add one struct column per section the layout reads (``_s<k>``; ``_row`` for the row section)."""
     body = F.col("body")
@@ -127,26 +67,6 @@ def sections_of(records: DataFrame, layout: L.Layout) -> DataFrame:
     )
 
 
-def _record_values(layout: L.Layout, body: Column) -> list[Column]:
-    """Interval columns and the fields of sections that have one entry per record."""
-    values: dict[str, Column] = {}
-    if layout.interval:
-        interval = _interval(body, section_column("_s0"))
-        values |= {name: interval[name] for name in layout.interval}
-    for f in layout.fields:
-        if f.section == "row":
-            continue
-        section = section_column(f"_s{f.section}")
-        if f.kind.startswith("cpu_"):
-            values[f.name] = _roll_up(f, F.col("_cpus"))
-        elif f.kind == "u64_list":
-            values[f.name] = counter_list(body, section)
-        else:
-            end = section.entry_end(body, F.lit(0))
-            values[f.name] = _read(f.kind, body, section.offset, f, end)
-    return [value.alias(name) for name, value in values.items()]
-
-
 def decode_table(records: DataFrame, table: str, ingest_ts: Column | None = None,
                  run_id: str | None = None, keep: tuple[str, ...] = ()) -> DataFrame:
     """Rows of one table from records that were routed to it.
@@ -164,14 +84,8 @@ def decode_table(records: DataFrame, table: str, ingest_ts: Column | None = None
         values["body"] = body
     elif table in L.BY_TABLE:
         layout = L.BY_TABLE[table]
-        kept = sections_of(kept, layout)
-        if any(f.kind.startswith("cpu_") for f in layout.fields):
-            kept = kept.withColumn("_cpus", _processors(body, section_column("_s2")))
-        # Values of the whole record first: once per record, however many entries follow.
-        kept = kept.select("*", *_record_values(layout, body))
+        kept = layout_rows(kept, layout)
         if layout.rows is not None:
-            fields = tuple(f for f in layout.fields if f.section == "row")
-            kept = section_rows(kept, fields, layout.valid_bit)
             entry_seq = F.col("_entry").cast("int")
         values |= {name: F.col(name) for name in layout.interval}
         values |= {f.name: F.col(f.name) for f in layout.fields}

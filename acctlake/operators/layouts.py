@@ -60,6 +60,11 @@ class Layout:
     #: sections read besides the row section
     sections: tuple[int, ...] = field(init=False)
 
+    @property
+    def entry_bytes(self) -> int:
+        """Length of a directory entry."""
+        return 8 if self.compact else 12
+
     def __post_init__(self):
         used = {f.section for f in self.fields if f.section != "row"}
         if self.interval:
