@@ -11,6 +11,7 @@ import sys
 from collections.abc import Iterator
 from dataclasses import dataclass
 
+import numpy as np
 import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
@@ -24,8 +25,10 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 _PRINTABLE = "".join(chr(c) for c in range(32, 127))
 _EBCDIC = _PRINTABLE.encode("cp037").decode("latin-1")
 
-#: Rows of a block may share a record; 128 entries of the widest kind still fit into one.
-BLOCK_ROWS = 128
+#: Rows of equal record values share a record if they lie in the same block of so many rows.
+BLOCK_ROWS = 4096
+#: So many entries of the widest kind still fit into one record.
+RECORD_ROWS = 128
 
 
 # -- byte runs, all as hexadecimal text ----------------------------------------------------------
@@ -42,7 +45,8 @@ def number(value: str | Column, width: int) -> Column:
 
 def ebcdic(value: str | Column, width: int) -> Column:
     column = F.expr(value) if isinstance(value, str) else value
-    shown = F.translate(F.rpad(column, width, " "), _PRINTABLE, _EBCDIC)
+    # Blanks are added last: translating is by letter.
+    shown = F.rpad(F.translate(column, _PRINTABLE, _EBCDIC), width, _EBCDIC[0])
     return F.hex(F.encode(shown, "ISO-8859-1"))
 
 
@@ -56,7 +60,11 @@ def hexfloat(sixteenths: str) -> Column:
 
 
 def packed_date(date: str) -> Column:
-    return F.concat(F.date_format(F.expr(date), "yyyyDDD"), F.lit("C"))
+    # Formatting a date takes many times as long as its numbers.
+    day = F.expr(date)
+    return F.concat(
+        F.lpad(F.year(day).cast("string"), 4, "0"), F.lpad(F.dayofyear(day).cast("string"), 3, "0"), F.lit("C")
+    )
 
 
 def filler(width: int) -> Column:
@@ -235,8 +243,8 @@ def encode(rows: DataFrame, spec: Spec) -> DataFrame:
     }
     widths = {k: sum(r.width for r in s) for k, s in enumerate(spec.sections) if isinstance(s, tuple)}
     if spec.repeated:
-        # A record takes at most the rows of one block, however often a key occurs. The text of a row is made beside the block number,
-        # in generated code: what an aggregate collects is computed call by call.
+        # A group holds at most the rows of one block, however often a key occurs, and a record at most RECORD_ROWS of them. The text of
+        # a row is made beside the block number, in generated code: what an aggregate collects is computed call by call.
         packed = (
             rows.select(
                 *keys, F.expr(f"monotonically_increasing_id() div {BLOCK_ROWS}").alias("_block"),
@@ -244,8 +252,16 @@ def encode(rows: DataFrame, spec: Spec) -> DataFrame:
             )
             .groupBy(*keys, "_block")
             .agg(
-                F.count(F.lit(1)).alias("_rows"),
-                *[F.array_join(F.collect_list(f"_e{k}"), "").alias(f"_e{k}") for k in spec.repeated],
+                F.count(F.lit(1)).alias("_all"),
+                *[F.collect_list(f"_e{k}").alias(f"_e{k}") for k in spec.repeated],
+            )
+            .withColumn("_first", F.explode(F.expr(f"sequence(0L, _all - 1, {RECORD_ROWS}L)")))
+            .select(
+                *keys, F.least(F.col("_all") - F.col("_first"), F.lit(RECORD_ROWS)).alias("_rows"),
+                *[
+                    F.array_join(F.slice(f"_e{k}", F.col("_first").cast("int") + 1, RECORD_ROWS), "").alias(f"_e{k}")
+                    for k in spec.repeated
+                ],
             )
         )
         runs |= {k: F.col(f"_e{k}") for k in spec.repeated}
@@ -321,9 +337,11 @@ def write_logs(records: DataFrame, folder: str) -> DataFrame:
             if stream is None:
                 name = f"{inner}/log-{batch.column(1)[0].as_py():05d}.bin"
                 stream = filesystem.open_output_stream(name + ".tmp")
-            frames = batch.column(0).cast(pa.large_binary())
-            joined = b"".join(frames.to_pylist())
-            stream.write(joined)
+            # The frames of a batch lie one after the other already.
+            frames = batch.column(0)
+            bounds = np.frombuffer(frames.buffers()[1], np.int32)
+            first, last = int(bounds[frames.offset]), int(bounds[frames.offset + len(frames)])
+            stream.write(frames.buffers()[2].slice(first, last - first))
         if stream is not None:
             stream.close()
             filesystem.move(name + ".tmp", name)

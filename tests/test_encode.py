@@ -2,7 +2,11 @@
 
 import re
 
+from pyspark.sql import functions as F
+
+from acctlake.fixtures import encode as E
 from acctlake.fixtures import trial as T
+from acctlake.fixtures.specs import SPECS
 
 
 def test_aggregate_collects_finished_texts(spark, sf_dir):
@@ -14,3 +18,16 @@ def test_aggregate_collects_finished_texts(spark, sf_dir):
 def test_small_files_of_many_rows_make_tasks_by_rows(spark, sf_dir):
     plan = T.spec_records(spark, sf_dir, "smf30")._jdf.queryExecution().optimizedPlan().toString()
     assert "RebalancePartitions" in plan
+
+
+def test_records_are_full(spark):
+    """Rows of equal values, met in any order, share a record of up to 128 entries, none of which is lost."""
+    rows = spark.range(9000, numPartitions=1).selectExpr(
+        "id as l_orderkey", "id % 20 as l_partkey", "id % 2 as l_suppkey", "cast(id % 7 + 1 as int) as l_linenumber",
+        "timestamp '1997-02-03' as l_shipdate", "cast(3 as double) as l_quantity", "cast(7.25 as double) as l_extendedprice",
+    )
+    records = E.encode(rows, SPECS["smf72-3"])
+    # the count is the last word of the fifth directory entry
+    counts = [r.n for r in records.select(F.conv(F.hex(F.substring("body", 22 + 4 * 12 + 9, 4)), 16, 10).cast("int").alias("n")).collect()]
+    assert sum(counts) == 9000 and max(counts) == 128
+    assert len(counts) <= 2 * (4096 // 2 // 128) * 2 + 2 * 7
