@@ -165,7 +165,8 @@ def build_marts(spark: SparkSession, smf30: DataFrame, patterns: DataFrame, targ
     A build is written to a folder of its own, checked there, and only then becomes the current one: the
     name of its folder is put into ``<target>/CURRENT`` as a whole. The build before it stays until the next one, for readers that
     have planned on it (``<target>/PREVIOUS`` names it). If a check fails, the last build stays in use
-    and the failed one is removed. Every table is written once and the next one reads it back. The fact and the daily aggregate are
+    and the failed one is removed. Every table is written once and the next one reads it back; so are the staged rows while a build
+    lasts, since ``smf30`` may be a join of large tables that the dimension, the fact and the checks would each shuffle again. The fact and the daily aggregate are
     partitioned by year and month, so filters on these read only their folders.
     """
     build = f"build-{uuid.uuid4().hex}"
@@ -181,8 +182,9 @@ def build_marts(spark: SparkSession, smf30: DataFrame, patterns: DataFrame, targ
     staged = stg_smf30(smf30)
     months = [c for c in ("year", "month") if c in staged.columns]
     try:
-        dim = stored("dim_application", dim_application(staged, patterns))
-        fct = stored("fct_job_consumption", fct_job_consumption(staged, dim), *months)
+        rows = stored("stg_smf30", staged)
+        dim = stored("dim_application", dim_application(rows, patterns))
+        fct = stored("fct_job_consumption", fct_job_consumption(rows, dim), *months)
         daily = stored(
             "agg_consumption_daily",
             agg_consumption_daily(fct).withColumns(
@@ -195,9 +197,10 @@ def build_marts(spark: SparkSession, smf30: DataFrame, patterns: DataFrame, targ
         stored("rpt_jobs_by_date", rpt_jobs_by_date(fct).orderBy(*jobs_by_date_order()))
         if check:
             assert_checks({
-                "stg_smf30": staged, "map_job_application": patterns, "dim_application": dim,
+                "stg_smf30": rows, "map_job_application": patterns, "dim_application": dim,
                 "fct_job_consumption": fct, "agg_consumption_daily": daily,
             })
+        remove_tree(f"{target}/{build}/stg_smf30")
     except BaseException:
         remove_tree(f"{target}/{build}")
         raise

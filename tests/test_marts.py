@@ -318,3 +318,19 @@ def test_long_paths_are_searched_in_linear_time(spark):
     assert time.monotonic() - start < 30
     assert sorted(map(tuple, found)) == [
         (0, "MY CO", "0001", 2025, 4), (1, "=A", "b=", None, None), (2, "b=c", "S", 1, 2), (3, "", "", None, None)]
+
+
+def test_a_build_works_its_input_out_once(spark, sf_dir, tmp_path):
+    """The input may be a join of large tables; the dimension, the fact and the checks read what was written of it."""
+    seen = spark.sparkContext.accumulator(0)
+
+    def counted(name):
+        seen.add(1)
+        return name
+
+    rows = acct(spark, sf_dir)
+    n = rows.count()
+    built = marts.build_marts(spark, rows.withColumn("customer", F.udf(counted)("customer")), seed(spark), str(tmp_path / "marts"))
+    assert seen.value == n
+    assert built["fct_job_consumption"].count() == n
+    assert not list((tmp_path / "marts").glob("build-*/stg_smf30"))
