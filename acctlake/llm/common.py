@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import itertools
 import math
 import sys
 from collections.abc import Iterator
 from contextlib import contextmanager
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import cloudpickle
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -17,6 +21,8 @@ from acctlake.session import drop_scratch, scratch_dir
 #: Word separators of every operator: space and the control characters 9 to 13.
 SPACE = r"[\x20\x09-\x0D]+"
 WORD = r"[^\x20\x09-\x0D]+"
+#: Bytes of text that a task works on at a time.
+PIECE = 1 << 20
 
 
 def ship(module_name: str) -> None:
@@ -97,6 +103,18 @@ def word_count(text: Column) -> Column:
     return F.coalesce(words, F.lit(0)).cast("long")
 
 
+def pieces(batches: Iterator[pa.RecordBatch], text: int) -> Iterator[pa.RecordBatch]:
+    """All rows of ``batches``, in order, in runs of about ``PIECE`` bytes of column number ``text``; a text is never cut.
+
+    What a task makes of a batch, and the batches that it sends back, then stay small however many rows arrive at once.
+    """
+    for batch in batches:
+        sizes = pc.fill_null(pc.binary_length(batch.column(text)), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+        run = (np.cumsum(sizes) - sizes) // PIECE
+        for start, end in itertools.pairwise([0, *(np.flatnonzero(np.diff(run)) + 1).tolist(), batch.num_rows]):
+            yield batch.slice(start, end - start)
+
+
 def slices(rows: int, per_slice: int) -> int:
     """A power of two so that ``rows`` fall into parts of about ``per_slice``."""
     return 1 << max(0, math.ceil(math.log2(max(1, rows / per_slice))))

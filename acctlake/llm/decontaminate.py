@@ -32,7 +32,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from acctlake.llm.common import scratch_scope, ship, stage, with_key
+from acctlake.llm.common import pieces, scratch_scope, ship, stage, with_key
 
 #: Words of a window, and the share of them that must agree.
 WINDOW = 13
@@ -171,7 +171,7 @@ def hit_clusters(docs: DataFrame, item_seeds: DataFrame, doc_id: str = "doc_id",
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = _Words()
-        for batch in batches:
+        for batch in pieces(batches, 3):
             rows = []
             for d, ka, kb, content in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 ids = tokens(content, words)

@@ -9,7 +9,7 @@ number of n-grams. The prediction is the language with the largest share.
 Scale. Counting is one pass that sends at most languages x 2^GRAM_BITS sums a task; prediction is one pass
 without a shuffle. The model's size depends only on the number of languages, which is checked
 (``MAX_LANGUAGES``); nothing about documents is collected. Texts are handled one by one in blocks of letters, so memory
-is bounded for very long ones.
+is bounded for very long ones. A batch is worked off in pieces of 1 MB of text, and a text that is handed on is sent to the task once.
 
 Defined results. NULL texts and texts without a letter are ``und`` with score 0; so is every text if nothing was labelled.
 Ties go to the language that is first by name. Repeated rows each get the same result. Empty tables give no rows. Further columns of the
@@ -26,8 +26,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
-from acctlake.llm.common import ship, stage
+from acctlake.llm.common import pieces, ship, stage
 
 UNDETERMINED = "und"
 #: N-grams of 1 to MAX_N letters are hashed to this many bits.
@@ -85,7 +86,7 @@ def train(labelled: DataFrame, text: str = "text", lang: str = "lang") -> Model:
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[str, np.ndarray] = {}
-        for batch in batches:
+        for batch in pieces(batches, 0):
             for content, name in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 bins, times = grams(letters(content))
                 if len(bins):
@@ -177,21 +178,27 @@ def infer(text: str | None, model: Model) -> Guess:
 def predict(docs: DataFrame, model: Model, carried: Sequence[str] = ("doc_id",), text: str = "text") -> DataFrame:
     """The ``carried`` columns with ``lang_pred, score, shares, fit`` of each text; nothing but the text is looked at."""
     names = [f"c{i}" for i in range(len(carried))]
-    kept = docs.select(*[F.col(c).alias(n) for c, n in zip(carried, names, strict=True)], F.col(text).cast("string").alias("t"))
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema.fields[:-1])
+    kept = docs.select(*[F.col(c).alias(n) for c, n in zip(carried, names, strict=True)])
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema.fields)
+    if text in carried and kept.schema[at := list(carried).index(text)].dataType == StringType():
+        sent = kept
+    else:
+        at, sent = len(names), docs.select(
+            *[F.col(c).alias(n) for c, n in zip(carried, names, strict=True)], F.col(text).cast("string").alias("t")
+        )
     results = "lang_pred string, score double, shares map<string,double>, fit double"
     kinds = [pa.string(), pa.float64(), pa.map_(pa.string(), pa.float64()), pa.float64()]
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            guesses = [infer(t, model) for t in batch.column(batch.num_columns - 1).to_pylist()]
+        for batch in pieces(batches, at):
+            guesses = [infer(t, model) for t in batch.column(at).to_pylist()]
             columns = list(zip(*((g.lang, g.score, list(g.shares.items()), g.fit) for g in guesses), strict=True)) or [()] * 4
             yield pa.RecordBatch.from_arrays(
-                batch.columns[:-1] + [pa.array(list(c), k) for c, k in zip(columns, kinds, strict=True)],
+                batch.columns[: len(names)] + [pa.array(list(c), k) for c, k in zip(columns, kinds, strict=True)],
                 [*names, "lang_pred", "score", "shares", "fit"],
             )
 
-    found = kept.mapInArrow(each, f"{schema}, {results}" if names else results)
+    found = sent.mapInArrow(each, f"{schema}, {results}" if names else results)
     return found.select(
         *[F.col(n).alias(c) for n, c in zip(names, carried, strict=True)], "lang_pred", "score", "shares", "fit"
     )

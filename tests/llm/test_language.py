@@ -3,7 +3,10 @@
 import itertools
 
 import numpy as np
+import pyarrow as pa
+from pyspark.sql import functions as F
 
+from acctlake.llm import common
 from acctlake.llm import language as L
 from acctlake.llm.common import table
 from acctlake.llm.queries import op1_language
@@ -96,3 +99,26 @@ def test_edges(spark):
     nothing = L.train(docs.limit(0))
     assert [r.lang_pred for r in L.predict(docs, nothing).collect()] == ["und"] * len(rows)
     assert L.predict(docs.limit(0), model).collect() == []
+
+
+def test_pieces(spark, monkeypatch):
+    # All rows in order, each text whole; a run ends with the text that fills it.
+    monkeypatch.setattr(common, "PIECE", 10)
+    rows = [(0, "abcd"), (1, None), (2, "x" * 35), (3, ""), (4, "efgh"), (5, "ijklmnop"), (6, "q")]
+    batch = pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows]), pa.array([r[1] for r in rows])], ["n", "t"])
+    got = [[tuple(r.values()) for r in p.to_pylist()] for p in common.pieces(iter([batch, batch.slice(3), batch.slice(0, 0)]), 1)]
+    assert [r for p in got for r in p] == rows + rows[3:]
+    assert all(sum(len(t or "") for _, t in p[:-1]) < 10 for p in got)
+    assert [len(p) for p in got[:4]] == [3, 2, 1, 1]
+
+
+def test_a_carried_text_is_sent_once(spark):
+    docs = spark.createDataFrame([(1, "the cat and the dog", "en"), (2, "der hund und die katze", "de")],
+                                 "doc_id long, text string, lang string")
+    model = L.train(docs)
+    found = L.predict(docs, model, ("doc_id", "text"))
+    assert "AS t#" not in found._jdf.queryExecution().analyzed().toString()
+    assert {(r.doc_id, r.text, r.lang_pred) for r in found.collect()} == {(r.doc_id, r.text, r.lang) for r in docs.collect()}
+    # A text that is no string is cast for the reading and handed on as it was.
+    other = L.predict(docs.withColumn("text", F.col("text").cast("binary")), model, ("text",))
+    assert sorted((bytes(r.text).decode(), r.lang_pred) for r in other.collect()) == sorted((r.text, r.lang) for r in docs.collect())
