@@ -10,6 +10,7 @@ from __future__ import annotations
 import sys
 from collections.abc import Iterator
 from dataclasses import dataclass
+from decimal import Decimal
 
 import numpy as np
 import pyarrow as pa
@@ -39,7 +40,11 @@ def number(value: str | Column, width: int) -> Column:
     if width < 8:
         digits = F.hex(column.cast("bigint"))
     else:
-        digits = F.conv(column.cast("decimal(20,0)").cast("string"), 10, 16)
+        # Only decimals go beyond 63 bits; the type is known before the plan runs, and the other branch leaves it.
+        large = column.cast("decimal(20,0)")
+        wrapped = F.when(large > F.lit((1 << 63) - 1), large - F.lit(Decimal(1 << 64))).otherwise(large)
+        decimal = F.startswith(F.typeof(column), F.lit("decimal"))
+        digits = F.hex(F.when(decimal, wrapped.cast("bigint")).otherwise(column.cast("bigint")))
     return F.lpad(digits, 2 * width, "0")
 
 

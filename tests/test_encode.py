@@ -31,3 +31,13 @@ def test_records_are_full(spark):
     counts = [r.n for r in records.select(F.conv(F.hex(F.substring("body", 22 + 4 * 12 + 9, 4)), 16, 10).cast("int").alias("n")).collect()]
     assert sum(counts) == 9000 and max(counts) == 128
     assert len(counts) <= 2 * (4096 // 2 // 128) * 2 + 2 * 7
+
+
+def test_numbers_of_eight_bytes(spark):
+    """All 64 bits, written without a conversion of text."""
+    values = [0, 1, 4294967296, (1 << 63) - 1, 1 << 63, (1 << 64) - 1]
+    rows = spark.createDataFrame([(str(v), v if v < 1 << 63 else None) for v in values], "t string, n long")
+    got = rows.select("t", E.number("CAST(t AS DECIMAL(20,0))", 8).alias("d"), E.number("n", 8).alias("b")).collect()
+    assert [(r.d, r.b) for r in got] == [(f"{v:016X}", f"{v:016X}" if v < 1 << 63 else None) for v in values]
+    plan = T.spec_records(spark, "/root/testdata/sf0.001", "smf72-3")._jdf.queryExecution().optimizedPlan().toString()
+    assert "conv(" not in plan and "typeof" not in plan
