@@ -2,6 +2,8 @@
 
 import re
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from acctlake.fixtures import encode as E
@@ -41,3 +43,35 @@ def test_numbers_of_eight_bytes(spark):
     assert [(r.d, r.b) for r in got] == [(f"{v:016X}", f"{v:016X}" if v < 1 << 63 else None) for v in values]
     plan = T.spec_records(spark, "/root/testdata/sf0.001", "smf72-3")._jdf.queryExecution().optimizedPlan().toString()
     assert "conv(" not in plan and "typeof" not in plan
+
+
+def test_rows_of_a_batch_are_collected_as_one(spark):
+    """The aggregate is given a row per batch, block and record values, not one per row of the table."""
+    rows = E.with_record_values(spark.range(9000, numPartitions=1).selectExpr(
+        "id as l_orderkey", "id % 20 as l_partkey", "id % 2 as l_suppkey", "cast(id % 7 + 1 as int) as l_linenumber",
+        "timestamp '1997-02-03' as l_shipdate", "cast(3 as double) as l_quantity", "cast(7.25 as double) as l_extendedprice",
+    ), "lineitem")
+    spec = SPECS["smf74-2m"]
+    parts = E.entry_parts(rows, spec, list(E.RECORD_VALUES["lineitem"])).collect()
+    assert len(parts) == 2 and sum(p._rows for p in parts) == 9000
+    widths = {k: sum(r.width for r in spec.sections[k]) for k in spec.repeated}
+    assert all(len(p[f"_e{k}"]) == p._rows * widths[k] for p in parts for k in widths)
+    # the third run of a member is its name, in the order of the rows
+    names = [p._e4[i * widths[4] + 16 : i * widths[4] + 32].decode("cp037") for p in parts for i in range(2)]
+    assert sorted(names) == [f"MEMBER{i}".ljust(16) for i in (0, 1, 2, 3)]
+
+
+def test_octets_of_a_batch():
+    def text(*values):
+        return [bytes(row).decode("cp037") for row in E._text_octets(pa.array(values, pa.string()), 4)]
+
+    assert text("AB", None, "", "LONGER", "a~[]") == ["AB  ", "    ", "    ", "LONG", "a~[]"]
+    # letters outside ASCII have their place in CP037 too
+    assert text("éA", "LONGER", None) == ["éA  ", "LONG", "    "]
+    numbers = np.array([0, 1, 258, -1], np.int64)
+    assert [bytes(row).hex() for row in E._number_octets(numbers, 2)] == ["0000", "0001", "0102", "ffff"]
+    # counts of sixteenths: 0, 1/16, 1, 16 and a long one
+    sixteenths = np.array([0, 1, 16, 256, 0x123456789ABCDE], np.int64)
+    assert [bytes(row).hex() for row in E._hexfloat_octets(sixteenths)] == [
+        "0" * 16, "4010000000000000", "4110000000000000", "4210000000000000", "4d123456789abcde",
+    ]
