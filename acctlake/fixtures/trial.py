@@ -92,8 +92,8 @@ def _compared_columns(table: str) -> list[str]:
 def table_rows(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     """The rows of one table, read back from its binary log."""
     routed = route(read_records(spark, table_log(spark, sf_dir, table)))
-    decoded = decode_table(records_of(routed, table), table)
-    return comparable(decoded, *_compared_columns(table))
+    shown = _compared_columns(table)
+    return comparable(decode_table(records_of(routed, table), table, columns=shown), *shown)
 
 
 _SQL_TYPES = {"smallint": "SMALLINT", "int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE",

@@ -7,6 +7,8 @@ narrow. There is no shuffle from record to row.
 
 from __future__ import annotations
 
+from collections.abc import Collection
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -68,15 +70,22 @@ def sections_of(records: DataFrame, layout: L.Layout) -> DataFrame:
 
 
 def decode_table(records: DataFrame, table: str, ingest_ts: Column | None = None,
-                 run_id: str | None = None, keep: tuple[str, ...] = ()) -> DataFrame:
+                 run_id: str | None = None, keep: tuple[str, ...] = (),
+                 columns: Collection[str] | None = None) -> DataFrame:
     """Rows of one table from records that were routed to it.
 
     ``records`` carries the header columns, ``record_seq``, ``file_hash`` and ``body``. A table
-    without a layout gets the header columns only. ``keep`` names further columns to pass on.
+    without a layout gets the header columns only. ``keep`` names further columns to pass on. With ``columns`` only these are
+    read: Spark cannot tell that a column of a batch is not needed later.
     """
+
+    def wanted(name: str) -> bool:
+        return columns is None or name in columns
+
+    carried = [name for name in (*_HEADER, "record_seq", "file_hash") if wanted(name)]
     ingest = (F.lit(None) if ingest_ts is None else ingest_ts).cast("timestamp")
     body = F.col("body")
-    kept = records.select(*_HEADER, "record_seq", "file_hash", "body", *keep)
+    kept = records.select(*carried, "body", *keep)
     entry_seq = F.lit(0)
     values: dict[str, Column] = {}
 
@@ -84,19 +93,19 @@ def decode_table(records: DataFrame, table: str, ingest_ts: Column | None = None
         values["body"] = body
     elif table in L.BY_TABLE:
         layout = L.BY_TABLE[table]
-        kept = layout_rows(kept, layout)
+        kept = layout_rows(kept, layout, columns)
         if layout.rows is not None:
             entry_seq = F.col("_entry").cast("int")
         values |= {name: F.col(name) for name in layout.interval}
         values |= {f.name: F.col(f.name) for f in layout.fields}
 
-    return kept.select(
-        *_HEADER,
-        ingest.alias("ingest_ts"),
-        *[value.alias(name) for name, value in values.items()],
-        "record_seq",
-        entry_seq.alias("entry_seq"),
-        "file_hash",
-        F.lit(run_id).cast("string").alias("run_id"),
-        *keep,
-    )
+    shown = {
+        **{name: F.col(name) for name in _HEADER},
+        "ingest_ts": ingest,
+        **values,
+        "record_seq": F.col("record_seq"),
+        "entry_seq": entry_seq,
+        "file_hash": F.col("file_hash"),
+        "run_id": F.lit(run_id).cast("string"),
+    }
+    return kept.select(*[value.alias(name) for name, value in shown.items() if wanted(name)], *keep)

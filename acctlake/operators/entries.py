@@ -10,11 +10,12 @@ value would work its place out of the directory again. The rules are those of :m
 from __future__ import annotations
 
 import sys
-from collections.abc import Iterator
+from collections.abc import Collection, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -31,6 +32,8 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 CHUNK = 1 << 16
 #: Fixed value: code points of CP037, NUL shown as a blank.
 _CP037 = np.array([0x20, *map(ord, bytes(range(1, 256)).decode("cp037"))], np.uint8)
+#: A blank in CP037.
+_BLANK = 0x40
 _CPU_TYPE = L.CPU_ENTRY["type"]
 _HEX = np.frombuffer(b"0123456789ABCDEF", np.uint8)
 
@@ -38,12 +41,22 @@ WIDTHS = {"u8": 1, "u16": 2, "u32": 4, "u64": 8, "hexfloat": 8, "seconds": 4, "s
           "day": 4, "day_time": 8}
 
 
-def _cut(data: np.ndarray, start: np.ndarray, end: np.ndarray, offset: int, width: int) -> np.ndarray:
-    """``width`` bytes of each entry; zeros where they do not fit."""
+def _windows(data: np.ndarray, at: np.ndarray, width: int) -> np.ndarray:
+    """``width`` bytes from each place on, all of which lie in ``data``; each is copied as one item."""
+    if not len(at):
+        return np.zeros((0, width), np.uint8)
+    items = np.ndarray(len(data) - width + 1, f"V{width}", data, strides=(1,))
+    return items[at].view(np.uint8).reshape(len(at), width)
+
+
+def _cut(data: np.ndarray, start: np.ndarray, end: np.ndarray, offset: int, width: int, absent: int = 0) -> np.ndarray:
+    """``width`` bytes of each entry; ``absent`` where they do not fit."""
     at = start + offset
     fits = at + width <= end
-    found = data[np.where(fits, at, 0)[:, None] + np.arange(width)]
-    found[~fits] = 0
+    if fits.all():
+        return _windows(data, at, width)
+    found = np.full((len(at), width), absent, np.uint8)
+    found[fits] = _windows(data, at[fits], width)
     return found
 
 
@@ -54,29 +67,26 @@ def _number(octets: np.ndarray) -> np.ndarray:
     return padded.view(">u8")[:, 0].astype(np.uint64)
 
 
-def _strings(octets: np.ndarray, lengths: np.ndarray) -> pa.Array:
-    """ASCII text of the first ``lengths`` bytes of each row."""
-    offsets = np.zeros(len(octets) + 1, np.int32)
-    np.cumsum(lengths, out=offsets[1:])
-    kept = octets[np.arange(octets.shape[1]) < lengths[:, None]]
-    return pa.Array.from_buffers(
-        pa.string(), len(octets), [None, pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(kept))]
-    )
+def _strings(octets: np.ndarray) -> pa.Array:
+    """ASCII text, the whole of each row."""
+    rows, width = octets.shape
+    offsets = np.arange(rows + 1, dtype=np.int32) * np.int32(width)
+    return pa.Array.from_buffers(pa.string(), rows, [None, pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(octets))])
 
 
 def _text(data: np.ndarray, start: np.ndarray, end: np.ndarray, offset: int, width: int) -> pa.Array:
     """CP037 text without trailing blanks; cut at the end of the entry."""
+    octets = _cut(data, start, end, offset, width, _BLANK)
     at = start + offset
-    places = at[:, None] + np.arange(width)
-    inside = places < end[:, None]
-    codes = _CP037[data[np.where(inside, places, 0)]]
-    codes[~inside] = 0x20
-    shown = codes != 0x20
-    lengths = np.where(shown.any(axis=1), width - shown[:, ::-1].argmax(axis=1), 0)
+    cut = np.flatnonzero((at < end) & (at + width > end))
+    for left in np.unique(end[cut] - at[cut]):
+        some = cut[end[cut] - at[cut] == left]
+        octets[some, :left] = _windows(data, at[some], left)
+    codes = np.frombuffer(octets.tobytes().translate(_CP037.tobytes()), np.uint8).reshape(octets.shape)
     if codes.max(initial=0) < 128:
-        return _strings(codes, lengths)
-    wide = np.ascontiguousarray(codes.astype(np.uint32)).view(f"<U{width}")[:, 0]
-    return pa.array([text[:n] for text, n in zip(wide.tolist(), lengths.tolist(), strict=True)], pa.string())
+        return pc.ascii_rtrim(_strings(codes), " ")
+    wide = codes.astype(np.uint32).view(f"<U{width}")[:, 0]
+    return pa.array([text.rstrip(" ") for text in wide.tolist()], pa.string())
 
 
 def _days(octets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -106,7 +116,7 @@ def read_field(kind: str, data: np.ndarray, start: np.ndarray, end: np.ndarray,
     if kind == "hex":
         digits = np.empty((len(octets), 2 * width), np.uint8)
         digits[:, 0::2], digits[:, 1::2] = _HEX[octets >> 4], _HEX[octets & 15]
-        return _strings(digits, np.full(len(octets), 2 * width))
+        return _strings(digits)
     if kind == "hexfloat":
         lead = octets[:, 0].astype(np.int64)
         size = _number(octets[:, 1:]).astype(np.float64) * np.exp2(((lead & 127) - 64) * 4.0 - 56.0)
@@ -224,14 +234,14 @@ def _interval_fields(layout: L.Layout) -> tuple[L.Field, ...]:
     return tuple(L.Field(name, kind, 0, o, w) for name, (kind, o, w) in ((n, known[n]) for n in layout.interval))
 
 
-def layout_rows(records: DataFrame, layout: L.Layout) -> DataFrame:
+def layout_rows(records: DataFrame, layout: L.Layout, columns: Collection[str] | None = None) -> DataFrame:
     """The rows of one layout: all columns but ``body``, the interval columns and values of the record, and, if the layout
-    has a row section, ``_entry`` and the fields of an entry, a row for each."""
+    has a row section, ``_entry`` and the fields of an entry, a row for each. With ``columns`` only those values and fields."""
     carried = [c for c in records.columns if c != "body"]
     given = records.select(*carried, "body")
-    fields = _interval_fields(layout) + tuple(f for f in layout.fields if f.section != "row")
-    whole = [(f.name, f.section, (f.kind, f.offset, f.width, f.code)) for f in fields]
-    specs = [(f.name, f.kind, f.offset, f.width) for f in layout.fields if f.section == "row"]
+    fields = [f for f in (*_interval_fields(layout), *layout.fields) if columns is None or f.name in columns]
+    whole = [(f.name, f.section, (f.kind, f.offset, f.width, f.code)) for f in fields if f.section != "row"]
+    specs = [(f.name, f.kind, f.offset, f.width) for f in fields if f.section == "row"]
     kinds = L.columns_of(layout.table)
     schema = StructType([
         *[given.schema[c] for c in carried],

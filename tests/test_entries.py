@@ -5,13 +5,15 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from acctlake.fixtures import trial as T
 from acctlake.functions import binary as B
 from acctlake.operators import header
 from acctlake.operators import layouts as L
 from acctlake.operators.decode import decode_table, sections_of
 from acctlake.operators.entries import layout_rows, section_rows
-from acctlake.operators.route import route
+from acctlake.operators.route import records_of, route
 from acctlake.operators.sections import section_column
+from acctlake.sources.rdw import read_records
 
 KINDS = ["u8", "u16", "u32", "u64", "text", "hex", "hexfloat", "seconds", "seconds64", "millis", "flag"]
 
@@ -148,3 +150,16 @@ def test_headers_as_the_expressions_read_them(spark):
     assert sorted(map(str, got.collect())) == sorted(map(str, wanted.collect()))
     chosen = route(records.withColumn("source_file", F.lit("a"))).where("table_name = 'smf30'")
     assert "conv(" not in chosen._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_only_wanted_columns_are_read(spark, sf_dir):
+    """Columns that a query leaves out do not go through the batches; the others are the same."""
+    records = records_of(route(read_records(spark, T.table_log(spark, sf_dir, "smf74-2m"))), "smf74-2m")
+    shown = ["system_id", "sysplex_name", "member_name", "signals_sent"]
+    some = decode_table(records, "smf74-2m", columns=shown)
+    assert some.columns == shown
+    every = decode_table(records, "smf74-2m").select(shown)
+    assert some.exceptAll(every).count() == 0 and every.exceptAll(some).count() == 0
+    plan = T.table_rows(spark, sf_dir, "smf74-2m")._jdf.queryExecution().optimizedPlan().toString()
+    read = next(line for line in plan.splitlines() if "MapInArrow each" in line)
+    assert "member_name" in read and "source_file" not in read and "file_hash" not in read
