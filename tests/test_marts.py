@@ -2,6 +2,7 @@
 
 import datetime as dt
 import itertools
+import re
 import time
 
 import pyarrow as pa
@@ -12,6 +13,7 @@ from pyspark.sql import functions as F
 from acctlake.fixtures.accounts import acct, seed
 from acctlake.operators import checks, mapping
 from acctlake.plans import marts, reports
+from acctlake.session import SHUFFLE_CLEANUP
 from acctlake.sources import dataset as D
 from acctlake.streaming.incremental import ingest_stream, latest_copies
 from logs import finish, framed, header, write
@@ -334,3 +336,44 @@ def test_a_build_works_its_input_out_once(spark, sf_dir, tmp_path):
     assert seen.value == n
     assert built["fct_job_consumption"].count() == n
     assert not list((tmp_path / "marts").glob("build-*/stg_smf30"))
+
+
+def test_a_build_leaves_no_shuffle_files(spark, sf_dir, tmp_path):
+    """Builds in one session would else add up on the executors' disks."""
+    blocks = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def shuffles():
+        return set(re.findall(r"shuffle_\d+", blocks.getAllFiles().mkString(" ")))
+
+    before = shuffles()
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        marts.build_marts(spark, acct(spark, sf_dir), seed(spark), str(tmp_path))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    deadline = time.monotonic() + 20  # files are removed a moment later
+    while shuffles() - before and time.monotonic() < deadline:
+        time.sleep(0.2)
+    assert not shuffles() - before
+    assert spark.conf.get(SHUFFLE_CLEANUP, None) in (None, "false")
+
+
+def test_rows_of_lineitem_do_not_meet_customers(spark, sf_dir):
+    """The largest table is shuffled for its orders and parts only."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        lines = acct(spark, sf_dir)._jdf.queryExecution().sparkPlan().toString().splitlines()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    depth = [len(x) - len(x.lstrip(" :+-")) for x in lines]
+    (at,) = [n for n, x in enumerate(lines) if "Join" in x and "c_custkey" in x]
+    end = next((n for n in range(at + 1, len(lines)) if depth[n] <= depth[at]), len(lines))
+    below = "\n".join(lines[at:end])
+    assert "customer.parquet" in below and "lineitem.parquet" not in below
+
+
+def test_alike_rows_stand_together(spark):
+    rows = [acct_row(job_name=f"J{n % 7}", program_name=None if n % 3 else "P", cpu_sec=float(n)) for n in range(400)]
+    staged = marts.stg_smf30(spark.createDataFrame(rows).coalesce(1))
+    seen = [(r.job_name, r.program_name) for r in staged.sortWithinPartitions(marts.alike(staged.columns)).collect()]
+    assert len(seen) == 400 and len([k for k, _ in itertools.groupby(seen)]) == 14
