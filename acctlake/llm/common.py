@@ -32,7 +32,11 @@ def ship(module_name: str) -> None:
 
 #: Folders staged in each open scope, innermost last.
 _SCOPES: list[list[str]] = []
-SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+#: Settings of a scope: shuffle files go after each job, and batches of texts are small on both sides of the way to Python.
+IN_SCOPE = {
+    "spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true",
+    "spark.sql.execution.arrow.maxBytesPerBatch": "4m",
+}
 
 
 @contextmanager
@@ -41,13 +45,15 @@ def scratch_scope(spark: SparkSession) -> Iterator[None]:
 
     Nothing that is used later may depend on the rest, so all work has to be done inside.
     """
-    before = spark.conf.get(SHUFFLE_CLEANUP, None)
-    spark.conf.set(SHUFFLE_CLEANUP, "true")
+    before = {key: spark.conf.get(key, None) for key in IN_SCOPE}
+    for key, value in IN_SCOPE.items():
+        spark.conf.set(key, value)
     _SCOPES.append([])
     try:
         yield
     finally:
-        spark.conf.set(SHUFFLE_CLEANUP, before or "false")
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
         for path in _SCOPES.pop():
             drop_scratch(spark, path)
 

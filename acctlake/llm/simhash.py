@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from acctlake.llm.common import ship, stage
+from acctlake.llm.common import pieces, ship, stage
 from acctlake.llm.components import components
 
 BITS = 64
@@ -66,10 +66,11 @@ def fingerprints(
     docs: DataFrame, width: int = 3, doc_id: str = "doc_id", text: str = "text", carried: Sequence[str] = ()
 ) -> DataFrame:
     """``doc_id, fp`` of every row, and the ``carried`` columns."""
+    place = 1 + len(carried)
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            texts = batch.column(batch.num_columns - 1).to_pylist()
+        for batch in pieces(batches, place):
+            texts = batch.column(place).to_pylist()
             found = pa.array([fingerprint(t, width) for t in texts], pa.int64())
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns[:-1], found], [*batch.schema.names[:-1], "fp"]

@@ -6,6 +6,7 @@ import pytest
 
 import corpus_pipeline as C
 from acctlake.llm import near_copies as N
+from acctlake.llm.simhash import fingerprint
 
 
 def jaccard(a, b):
@@ -65,3 +66,17 @@ def test_stage_removes_copies_of_several_changed_words(spark):
     assert jaccard(texts[0], texts[1]) >= 0.8 > jaccard(texts[0], texts[2])
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     assert {r.doc_id for r in C.dedup_near(spark, docs, "").collect()} == {0, 2, 3}
+
+
+def test_stage_also_removes_what_simhash_links(spark):
+    rng = random.Random(9)
+    own = [[f"w{rng.randrange(10**6)}" for _ in range(20)] for _ in range(3)]
+    cycle = "one two three four five six seven ".split() * 60
+    texts = [" ".join([*cycle, *words]) for words in own]
+    # Like the last of these by Jaccard, and so linked with the others through it.
+    texts += [" ".join([*cycle, *own[2][:-1], "altered"]), "quite another text", None, ""]
+    bits = [fingerprint(t) % (1 << 64) for t in texts]
+    assert max((bits[0] ^ b).bit_count() for b in bits[:3]) <= 2 and jaccard(texts[0], texts[1]) < 0.5
+    assert jaccard(texts[2], texts[3]) >= 0.8
+    docs = spark.createDataFrame([(n if n != 1 else None, t) for n, t in enumerate(texts)], "doc_id long, text string")
+    assert sorted(r.doc_id for r in C.dedup_near(spark, docs, "").collect()) == [0, 4, 5]
