@@ -362,7 +362,7 @@ def test_rows_of_lineitem_do_not_meet_customers(spark, sf_dir):
     """The largest table is shuffled for its orders and parts only."""
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        lines = acct(spark, sf_dir)._jdf.queryExecution().sparkPlan().toString().splitlines()
+        lines = acct(spark, sf_dir, narrow=True)._jdf.queryExecution().sparkPlan().toString().splitlines()
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     depth = [len(x) - len(x.lstrip(" :+-")) for x in lines]
